@@ -1,0 +1,9 @@
+"""Streaming.
+
+The source workload is batch only: it has no streaming source, sink,
+watermark, window or state, so nothing is built here. Every row-level
+operator in ``valuekit.operators.clean`` and ``valuekit.operators.metrics`` is
+a stateless projection or filter and therefore also applies unchanged to a
+streaming DataFrame from ``spark.readStream``; the aggregating operators would
+need a watermark, which the source never defines.
+"""
