@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, IntegerType, StringType, StructField, StructType
 
 from valuekit import schemas as K
-from valuekit.catalog.shapes import supplier_seasons, supplier_seasons_x, table
+from valuekit.catalog.shapes import cents, supplier_seasons, supplier_seasons_x, table
 from valuekit.functions import columns as C
 from valuekit.operators import clean as CL
 from valuekit.operators import lookup as L
@@ -364,9 +364,9 @@ def q24_tier_value_score(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey", "l_linenumber",
         (F.col("l_quantity") / 160.0).alias("salary_pct_of_cap"),
         F.col("l_quantity").alias("bpm"),
-        F.round(F.col("l_extendedprice") * 100).alias("ws_per_48"),
-        F.round(F.col("l_discount") * 100).alias("ts_pct"),
-        F.round(F.col("l_tax") * 100).alias("usg_pct"),
+        cents(F.col("l_extendedprice")).cast("double").alias("ws_per_48"),
+        cents(F.col("l_discount")).cast("double").alias("ts_pct"),
+        cents(F.col("l_tax")).cast("double").alias("usg_pct"),
     )
     out = tier_value_score(li)
     return _round_cols(out, {"value_score": 6})

@@ -27,8 +27,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("VALUEKIT_DRIVER_MEMORY", "8g"))
     )
+    event_dir = os.environ.get("VALUEKIT_EVENT_LOG_DIR")
+    if event_dir:  # stage and task timings for profiling, written to a scratch folder
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
