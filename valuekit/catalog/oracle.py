@@ -19,7 +19,7 @@ WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 def sql_text_to_integer(expr: str, typ: str = "BIGINT") -> str:
     t = f"trim({expr}, {WS})"
     whole = f"regexp_extract({t}, '^([+-]?[0-9]*)', 1)"
-    return (f"(CASE WHEN regexp_matches({t}, '^[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)$') "
+    return (f"(CASE WHEN regexp_matches({t}, '^[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]*)$') "
             f"THEN TRY_CAST(CASE WHEN {whole} IN ('', '+', '-') THEN '0' ELSE {whole} END AS {typ}) END)")
 
 

@@ -26,14 +26,18 @@ def strip_cr(c: ColumnOrName) -> Column:
     return F.replace(col(c), F.lit("\r"), F.lit(""))
 
 
+CONTROL_AND_SPACE = "".join(chr(i) for i in range(33))
+
+
 def text_to_integer(c: ColumnOrName, dtype: str = "bigint") -> Column:
     """Text -> integer with the non-ANSI cast rules the domain data was
-    produced under: surrounding whitespace is ignored, a decimal fraction is
-    truncated ('1200.0' -> 1200, '-7.5' -> -7, '.5' -> 0), anything else
-    ('$1', '1,000', '1e6', '') and overflow give NULL. ANSI ``cast`` would
-    raise and ``try_cast`` would turn '1200.0' into NULL instead."""
-    t = F.trim(col(c), F.lit(" \t\n\r\f\u000b"))
-    numeric = t.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$")
+    produced under: characters up to the space are trimmed, an optional sign,
+    then digits with an optional fraction that is truncated ('1200.0' -> 1200,
+    '-7.5' -> -7, '.5' -> 0, '.' -> 0); anything else ('$1', '1,000', '1e6',
+    '', a bare sign) and overflow give NULL. An ANSI ``cast`` would raise and
+    ``try_cast`` would turn '1200.0' into NULL instead."""
+    t = F.trim(col(c), F.lit(CONTROL_AND_SPACE))
+    numeric = t.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)$")
     whole = F.regexp_extract(t, r"^([+-]?[0-9]*)", 1)
     whole = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
     return F.when(numeric, whole.try_cast(dtype))
