@@ -14,16 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _f32(x):
-    return x.cast("float")
+_HANDLES: dict = {}
 
 
-def _tenths(x, d: int):
-    return _f32(x / F.lit(float(d)))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The Parquet table as a DataFrame; the handle (listing and footer
+    schema) is reused per session and path, like a catalog table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
 
 
 def cents(x):
@@ -34,62 +36,26 @@ def cents(x):
 
 
 def supplier_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ss``: one row per (supplier, ship year) with the stats of its line items."""
-    li = table(spark, sf_dir, "lineitem")
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-    b = li.groupBy(F.col("l_suppkey").alias("player_id"), F.year("l_shipdate").cast("int").alias("y")).agg(
-        F.count(F.lit(1)).cast("int").alias("games"),
-        F.sum(F.col("l_quantity").cast("int")).cast("int").alias("mp"),
-        F.sum(F.floor(F.col("l_extendedprice") / 1000).cast("int")).cast("int").alias("pts"),
-        F.sum("l_linenumber").cast("int").alias("trb"),
-        F.count(F.when(flag == "A", 1)).cast("int").alias("ast"),
-        F.count(F.when(flag == "R", 1)).cast("int").alias("stl"),
-        F.count(F.when(flag == "N", 1)).cast("int").alias("blk"),
-        F.count(F.when(status == "F", 1)).cast("int").alias("tov"),
-        F.sum(cents(F.col("l_discount")).cast("int")).cast("int").alias("fg3a"),
-        F.sum(cents(F.col("l_tax")).cast("int")).cast("int").alias("fg2a"),
-    )
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    j = b.join(sup, b.player_id == sup.s_suppkey, "inner").drop("s_suppkey")
-    y, pid, nk = F.col("y"), F.col("player_id"), F.col("s_nationkey")
-    c = F.col
-    pos = (F.when(nk % 6 == 0, "PG").when(nk % 6 == 1, "SG").when(nk % 6 == 2, "SF")
-           .when(nk % 6 == 3, "PF").when(nk % 6 == 4, "C").otherwise("SF-PF"))
-    return j.select(
-        *[c(x) for x in ("player_id", "y", "games", "mp", "pts", "trb", "ast", "stl", "blk", "tov", "fg3a", "fg2a")],
-        c("s_name").alias("name"), nk.alias("s_nationkey"),
-        F.concat(y.cast("string"), F.lit("-"), F.lpad(((y + 1) % 100).cast("string"), 2, "0")).alias("season"),
-        y.alias("season_start_year"),
-        (F.lit(1000000) + cents(F.abs(c("s_acctbal"))) * 10).cast("bigint").alias("player_salary"),
-        (F.lit(20000000) + F.lit(1000000) * (y - 1995)).alias("salary_cap"),
-        pos.alias("pos"),
-        _f32(F.lit(15) + c("trb") % 16).alias("usg_pct"),
-        F.when(pid % 11 == 0, F.lit(None)).otherwise(_tenths(F.lit(50) + c("games") % 15, 100)).alias("ts_pct"),
-        _f32(c("pts") % 45).alias("ast_pct"),
-        _tenths(c("mp") % 60, 10).alias("blk_pct"),
-        _f32(c("trb") % 12).alias("orb_pct"),
-        _tenths(c("ast") % 25, 100).alias("ws_per_48"),
-        _tenths(c("fg3a") % 60, 100).alias("fg3a_per_fga_pct"),
-        _tenths(c("trb") % 120 - 10, 10).alias("ws"),
-        _tenths(c("ast") % 70 - 10, 10).alias("vorp"),
-        _tenths(c("pts") % 200 - 100, 10).alias("bpm"),
-        _tenths(c("mp") % 300, 10).alias("per"),
-    )
+    """``ss``: one row per (supplier, ship year) with the stats of its line
+    items. One ``spark.sql`` statement over the two tables (the FIXTURES.md
+    text with integer rounding), so building it costs one call."""
+    return spark.sql("WITH " + SS_SPARK_SQL + " SELECT * FROM ss",
+                     lineitem=table(spark, sf_dir, "lineitem"), supplier=table(spark, sf_dir, "supplier"))
 
 
 def supplier_seasons_x(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ssx``: ``ss`` plus a team tag (every 9th supplier is a multi-team
     aggregate row) and a cap share that is NULL for every 13th supplier and
     below 1% for every 17th (FIXTURES.md 3.1)."""
-    ss = supplier_seasons(spark, sf_dir)
-    pid = F.col("player_id")
-    share = F.round(F.col("player_salary") / F.col("salary_cap"), 6)
-    return ss.withColumns({
-        "team_name_abbr": F.when(pid % 9 == 0, F.lit("2TM"))
-        .otherwise(F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))),
-        "salary_pct_of_cap": F.when(pid % 13 == 0, F.lit(None).cast("double"))
-        .when(pid % 17 == 0, share / 100).otherwise(share),
-    })
+    return spark.sql("WITH " + SS_SPARK_SQL + """,
+ssx AS (
+SELECT ss.*,
+  CASE WHEN player_id % 9 = 0 THEN '2TM' ELSE concat('N', CAST(s_nationkey AS STRING)) END AS team_name_abbr,
+  CASE WHEN player_id % 13 = 0 THEN CAST(NULL AS DOUBLE)
+       WHEN player_id % 17 = 0 THEN round(player_salary / salary_cap, 6) / 100
+       ELSE round(player_salary / salary_cap, 6) END AS salary_pct_of_cap
+FROM ss)
+SELECT * FROM ssx""", lineitem=table(spark, sf_dir, "lineitem"), supplier=table(spark, sf_dir, "supplier"))
 
 
 # ---------------------------------------------------------------- SQL side
@@ -130,6 +96,14 @@ SELECT b.*, s_name AS name, s_nationkey,
 FROM b JOIN supplier ON s_suppkey = player_id)"""
 
 
+# Spark text of the same shape: table placeholders for DataFrame arguments and
+# integer rounding of the two-decimal columns (see ``cents``).
+SS_SPARK_SQL = (SS_SQL.replace("FROM lineitem", "FROM {lineitem}").replace("JOIN supplier", "JOIN {supplier}")
+                .replace("round(l_discount * 100)", "floor(l_discount * 100 + 0.5)")
+                .replace("round(l_tax * 100)", "floor(l_tax * 100 + 0.5)")
+                .replace("round(abs(s_acctbal) * 100)", "floor(abs(s_acctbal) * 100 + 0.5)"))
+
+
 def sql_round_ratio(num: str, den: str, digits: int) -> str:
     """Spark's ``round(num / den, digits)`` (half-up on the decimal value) for
     non-negative integers, computed exactly with integer division."""

@@ -1,11 +1,13 @@
 """Rule-based labels as one native expression.
 
 A :class:`RuleSet` is data: an ordered list of labels, each with
-``(condition, points)`` pairs. :meth:`RuleSet.label_expr` compiles it into
-one Catalyst expression: per label ``sum(when(cond, points).otherwise(0))``,
-then the first label (in list order) whose score equals the ``greatest`` of all
-scores. Any NULL input short-circuits to the fallback label. No Python worker
-is involved, so the labelling stays inside whole-stage codegen.
+``(condition, points)`` pairs, where a condition is a Column or SQL text.
+:meth:`RuleSet.apply` compiles it into native expressions: per label
+``sum(CASE WHEN cond THEN points ELSE 0 END)``, then the first label (in list
+order) whose score equals the ``greatest`` of all scores. Any NULL input
+short-circuits to the fallback label. No Python worker is involved, so the
+labelling stays inside whole-stage codegen. SQL-text conditions become one
+``expr`` per label, which keeps plan construction to a handful of calls.
 
 Threshold tests compare FloatType columns against double literals, like the
 source (float 0.12 >= 0.12 is false), and NaN fails every threshold as in a
@@ -20,12 +22,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.functions.columns import ge_finite, lt_finite
 
 
 @dataclass
 class RuleSet:
-    labels: Sequence[tuple[str, Sequence[tuple[Column, int]]]]
+    labels: Sequence[tuple[str, Sequence[tuple[Column | str, int]]]]
     required: Sequence[str] = ()
     fallback: str | None = None
     constant_points: Mapping[str, int] = field(default_factory=dict)
@@ -33,8 +34,14 @@ class RuleSet:
     def score_exprs(self) -> list[tuple[str, Column]]:
         out = []
         for name, rules in self.labels:
-            total = F.lit(int(self.constant_points.get(name, 0)))
+            base = int(self.constant_points.get(name, 0))
+            if all(isinstance(c, str) for c, _ in rules):
+                terms = [str(base)] + [f"(CASE WHEN {c} THEN {int(p)} ELSE 0 END)" for c, p in rules]
+                out.append((name, F.expr(" + ".join(terms))))
+                continue
+            total = F.lit(base)
             for cond, pts in rules:
+                cond = F.expr(cond) if isinstance(cond, str) else cond
                 total = total + F.when(cond, F.lit(int(pts))).otherwise(F.lit(0))
             out.append((name, total))
         return out
@@ -42,10 +49,7 @@ class RuleSet:
     def _label(self, scores: list[tuple[str, Column]], best: Column) -> Column:
         label = F.coalesce(*[F.when(s == best, F.lit(name)) for name, s in scores])
         if self.required:
-            any_null = None
-            for c in self.required:
-                t = F.col(c).isNull()
-                any_null = t if any_null is None else any_null | t
+            any_null = F.expr(" OR ".join(f"{_q(c)} IS NULL" for c in self.required))
             label = F.when(any_null, F.lit(self.fallback)).otherwise(label)
         return label
 
@@ -70,6 +74,29 @@ class RuleSet:
         return df.withColumn(out, label).drop(*tmp, "__best")
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def at_least(c: str, t: float) -> str:
+    """SQL text: c >= t, false for NaN (Python semantics); t is a double
+    literal, so a FloatType column is widened as in a Column comparison."""
+    return f"(NOT isnan({_q(c)}) AND {_q(c)} >= {float(t)!r}D)"
+
+
+def below(c: str, t: float) -> str:
+    return f"(NOT isnan({_q(c)}) AND {_q(c)} < {float(t)!r}D)"
+
+
+def sum_at_least(a: str, b: str, t: float) -> str:
+    s = f"({_q(a)} + {_q(b)})"
+    return f"(NOT isnan({s}) AND {s} >= {float(t)!r}D)"
+
+
+def one_of(c: str, values: Sequence[str]) -> str:
+    return f"({_q(c)} IN (" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "))"
+
+
 def archetype_rules(
     pos: str = "pos", usg: str = "usg_pct", pts36: str = "pts_per36", ts: str = "ts_pct",
     fg3a36: str = "fg3a_per36", stl36: str = "stl_per36", blk36: str = "blk_per36",
@@ -78,30 +105,30 @@ def archetype_rules(
     fg3a_share: str = "fg3a_per_fga_pct",
 ) -> RuleSet:
     """The eight player archetypes over 14 inputs (column names are parameters)."""
-    ge, lt = ge_finite, lt_finite
-    p = F.col(pos)
+    ge, lt = at_least, below
     # Position groups.
-    guard = p.isin("PG", "SG", "G")
-    wing = p.isin("SF", "SG-SF", "SF-SG", "F")
-    big = p.isin("PF", "C", "C-PF", "PF-C", "F-C")
-    stocks = F.col(stl36) + F.col(blk36)
+    guard = one_of(pos, ("PG", "SG", "G"))
+    wing = one_of(pos, ("SF", "SG-SF", "SF-SG", "F"))
+    big = one_of(pos, ("PF", "C", "C-PF", "PF-C", "F-C"))
 
-    def stocks_ge(t: float) -> Column:
-        return ~F.isnan(stocks) & (stocks >= F.lit(t))
+    def both(*conds: str) -> str:
+        return "(" + " AND ".join(conds) + ")"
 
     # Label order (ties go to the earlier label), rules and points.
     labels = [
         ("Elite Scorer", [(ge(usg, 25), 2), (ge(pts36, 20), 2), (ge(ts, 0.56), 1),
-                          (ge(usg, 22) & ge(pts36, 18), 1)]),
-        ("3-and-D Wing", [(ge(fg3a_share, 0.45), 2), (ge(fg3a36, 5.0), 1), (stocks_ge(2.5), 2),
+                          (both(ge(usg, 22), ge(pts36, 18)), 1)]),
+        ("3-and-D Wing", [(ge(fg3a_share, 0.45), 2), (ge(fg3a36, 5.0), 1), (sum_at_least(stl36, blk36, 2.5), 2),
                           (wing, 1), (lt(ast36, 3.5), 1)]),
         ("Playmaking Engine", [(ge(ast_pct, 28), 3), (ge(ast36, 7.0), 2), (guard, 1), (ge(usg, 22), 1)]),
         ("Rim Protector", [(ge(blk_pct, 4.0), 3), (ge(blk36, 2.0), 2), (big, 1), (ge(orb_pct, 8.0), 1),
                            (ge(trb36, 9.0), 1)]),
-        ("Stretch Big", [(big & ge(fg3a_share, 0.30), 3), (big & ge(fg3a36, 3.5), 2), (lt(ast36, 3.0), 1)]),
-        ("Two-Way Anchor", [(stocks_ge(3.0), 2), (ge(ws48, 0.12), 2), (ge(blk_pct, 2.5) & ge(stl36, 1.0), 2)]),
-        ("Combo Guard", [(guard & ge(pts36, 14) & ge(ast36, 3.5), 3), (guard & ge(fg3a_share, 0.30), 1),
-                         (guard & lt(usg, 25), 1)]),
+        ("Stretch Big", [(both(big, ge(fg3a_share, 0.30)), 3), (both(big, ge(fg3a36, 3.5)), 2),
+                         (lt(ast36, 3.0), 1)]),
+        ("Two-Way Anchor", [(sum_at_least(stl36, blk36, 3.0), 2), (ge(ws48, 0.12), 2),
+                            (both(ge(blk_pct, 2.5), ge(stl36, 1.0)), 2)]),
+        ("Combo Guard", [(both(guard, ge(pts36, 14), ge(ast36, 3.5)), 3), (both(guard, ge(fg3a_share, 0.30)), 1),
+                         (both(guard, lt(usg, 25)), 1)]),
         ("Role Player / Glue Guy", []),
     ]
     required = [pos, usg, pts36, ts, fg3a36, stl36, blk36, ast36, ast_pct, blk_pct, orb_pct, trb36, ws48,
