@@ -1,10 +1,16 @@
 """Six raw CSV tables -> six cleaned Parquet tables.
 
-Each cleaner is a configuration of generic operators. The job writes each
-cleaned table once; clean row counts come from an ``Observation`` on that
-write (no cache, no recount), raw row counts from one scan-only count per
-CSV, and the key checks read back only the key columns of the written
-Parquet.
+Each cleaner is a configuration of generic operators. Plan of the job:
+
+* every raw CSV is parsed exactly once: it is staged as Parquet (carriage
+  returns already stripped) in the shared checkpoint folder, and its raw row
+  count is an ``Observation`` on that write. The cleaners then read columnar,
+  pruned, filter-pushed Parquet; the prefer-aggregate step reads its input
+  more than once, which would otherwise mean re-parsing CSV. The staged table
+  also cuts the lineage, so a lost executor recomputes from Parquet;
+* each cleaned table is written once, its row count observed on that write
+  (no cache, no recount);
+* the key checks read back only the key columns of the written Parquet.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from valuekit.operators import quality as Q
 from valuekit.operators.dedupe import consolidate, prefer_tagged_rows
 from valuekit.operators.join import normalize_to_cap
 from valuekit.operators.metrics import per_game_rates, per_minute_rates
+from valuekit.session import scratch_path
 from valuekit.sources import files
 
 PLAYER_SEASON = ("player_id", "season")
@@ -110,17 +117,31 @@ KEY_COLUMNS = {
 }
 
 
+def stage_raw(spark: SparkSession, raw: dict) -> tuple[dict, dict]:
+    """Parse each raw CSV once into Parquet under the shared checkpoint
+    folder (``\\r`` stripped on the way); returns the staged tables and their
+    raw row counts, observed during the same write."""
+    staged, counts = {}, {}
+    for name, df in raw.items():
+        obs = Observation(f"raw_{name}")
+        path = scratch_path(spark, f"staged_{name}")
+        files.write_parquet(CL.strip_carriage_returns(df).observe(obs, F.count(F.lit(1)).alias("rows")), path)
+        counts[name] = int(obs.get["rows"])
+        staged[name] = spark.read.parquet(path)
+    return staged, counts
+
+
 def run_foundation(spark: SparkSession, input_dir: str, output_dir: str) -> DataFrame:
-    """Read, clean, write; returns the cleaning and key-check report."""
-    raw = files.load_csv_tables(spark, input_dir, K.RAW_TABLES)
-    cleaned = clean_all(raw)
+    """Stage, clean, write; returns the cleaning report (the key checks
+    are written next to it)."""
+    staged, raw_counts = stage_raw(spark, files.load_csv_tables(spark, input_dir, K.RAW_TABLES))
+    cleaned = clean_all(staged)
     out = output_dir.rstrip("/")
-    clean_counts, raw_counts = {}, {}
+    clean_counts = {}
     for name, df in cleaned.items():
         obs = Observation(f"clean_{name}")
         files.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{out}/{name}")
         clean_counts[name] = int(obs.get["rows"])
-        raw_counts[name] = raw[name].count()
     report = spark.createDataFrame(
         [(n, raw_counts[n], clean_counts[n], raw_counts[n] - clean_counts[n]) for n in cleaned],
         "table_name string, raw_rows bigint, clean_rows bigint, dropped_rows bigint")

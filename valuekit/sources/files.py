@@ -9,6 +9,10 @@
   upstream stage); a file-count bound, when asked for, is a ``repartition``
   that keeps the upstream stage wide, and ``max_records_per_file`` bounds file
   size instead.
+* Hive-partitioned writes carry a ``rebalance`` hint on the partition columns:
+  AQE then sizes the write partitions to the advisory size and splits a
+  skewed partition value, instead of every task writing one small file per
+  value it happens to hold.
 """
 
 from __future__ import annotations
@@ -52,10 +56,13 @@ def read_parquet_tables(spark: SparkSession, input_dir: str, names: Sequence[str
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
-                  n_files: int | None = None, max_records_per_file: int | None = None) -> None:
+                  n_files: int | None = None, max_records_per_file: int | None = None,
+                  rebalance: bool = True) -> None:
     """Parquet write; optional Hive-style partitioning and file bounds."""
     if n_files is not None:
         df = df.repartition(n_files, *partition_by) if partition_by else df.repartition(n_files)
+    elif partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
