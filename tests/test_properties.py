@@ -25,12 +25,14 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 def test_prefer_tagged_rows_matches_brute_force(spark, rows):
     rows = [(p, s, t, i) for i, (p, s, t) in enumerate(rows)]
     df = spark.createDataFrame(rows, "player_id string, season string, team string, rid int")
-    got = sorted(r.rid for r in prefer_tagged_rows(df, ["player_id", "season"], "team", K.AGGREGATE_TEAM_TAGS).collect())
     tags = set(K.AGGREGATE_TEAM_TAGS)
     tagged_keys = {(p, s) for p, s, t, _ in rows if t in tags and p is not None and s is not None}
     want = sorted(i for p, s, t, i in rows
                   if t is not None and (t in tags or (p, s) not in tagged_keys))
-    assert got == want
+    for salt in (1, 4):
+        got = sorted(r.rid for r in prefer_tagged_rows(df, ["player_id", "season"], "team", K.AGGREGATE_TEAM_TAGS,
+                                                       salt_buckets=salt).collect())
+        assert got == want
 
 
 def python_label(r):

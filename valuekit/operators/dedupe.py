@@ -24,20 +24,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: Iterable[str]) -> DataFrame:
+def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: Iterable[str],
+                       salt_buckets: int = 1) -> DataFrame:
     """D4 (P8, P9, A2, J1/J2, U1).
 
     Keeps every row whose ``tag_col`` is in ``tags`` plus every row whose tag
     is not in ``tags`` and whose key has no tagged row. A NULL tag makes the
     membership test NULL, so such rows fall out of both branches; a NULL key
     never matches in the anti-join, so untagged rows with a NULL key stay.
+
+    ``salt_buckets > 1`` spreads every key over that many join partitions
+    without relying on AQE: each untagged row picks a bucket from a hash of its
+    other columns (deterministic, so a retried task sends rows to the same
+    place), and the distinct key set is copied once per bucket with
+    ``explode`` (a generator, not a join). The result is the same rows.
     """
     keys = list(keys)
     is_tagged = F.col(tag_col).isin(list(tags))
     tagged = df.filter(is_tagged)
     tagged_keys = tagged.select(*keys).distinct()
-    untagged = df.filter(~is_tagged).join(tagged_keys, on=keys, how="left_anti")
-    return tagged.unionByName(untagged)
+    untagged = df.filter(~is_tagged)
+    if salt_buckets > 1:
+        others = [c for c in df.columns if c not in keys] or keys
+        untagged = untagged.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salt_buckets)).cast("int"))
+        tagged_keys = tagged_keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        kept = untagged.join(tagged_keys, on=keys + ["__salt"], how="left_anti").drop("__salt")
+    else:
+        kept = untagged.join(tagged_keys, on=keys, how="left_anti")
+    return tagged.unionByName(kept)
 
 
 def consolidate(
