@@ -1,14 +1,18 @@
 """Joins: size-checked broadcast of dimension tables, cap normalisation
 and the six-table unification (D18).
 
-Broadcast policy: a side is broadcast only behind a check of its size. Tables
-whose size is bounded by construction (one row per season, per season x team,
-per tier) go through :func:`bounded_broadcast`, which counts at most
-``max_rows + 1`` rows of the candidate (a cheap job over a dimension table)
-and falls back to the plain, shuffled join when the bound does not hold.
-Everything else is left to AQE, which converts a sort-merge join into a
-broadcast hash join at run time only when the materialised side is below
-``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+Broadcast policy: a side is broadcast only behind a check of its size.
+
+* A stored dimension table (one row per season, per season x team) goes
+  through :func:`bounded_broadcast`, which counts at most ``max_rows + 1`` rows
+  (for Parquet mostly footer metadata) and falls back to the plain, shuffled
+  join when the bound does not hold.
+* A dimension *derived* from a large table (an aggregate of orders, say) is
+  passed with ``max_rows=None``: counting it up front would compute the
+  aggregate twice. AQE checks it instead: the aggregate is materialised as a
+  query stage first and the join becomes a broadcast hash join only when that
+  stage is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+* Everything else (profiles, facts) is left to AQE the same way.
 """
 
 from __future__ import annotations
@@ -21,8 +25,11 @@ from pyspark.sql import functions as F
 DIMENSION_ROW_LIMIT = 100_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+def bounded_broadcast(df: DataFrame, max_rows: int | None = DIMENSION_ROW_LIMIT) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``;
+    ``max_rows=None`` leaves the decision to AQE at run time."""
+    if max_rows is None:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -35,7 +42,7 @@ def normalize_to_cap(
     cap_col: str = "salary_cap",
     out: str = "salary_pct_of_cap",
     digits: int = 6,
-    max_cap_rows: int = DIMENSION_ROW_LIMIT,
+    max_cap_rows: int | None = DIMENSION_ROW_LIMIT,
 ) -> DataFrame:
     """D13 (J3): left-join the cap per key and add ``round(value / cap, digits)``
     where the cap is positive, NULL otherwise (missing cap included)."""
@@ -69,7 +76,7 @@ def unify(
     advanced_columns: Sequence[str] = ADVANCED_COLUMNS,
     cap_col: str = "league_salary_cap",
     standings_columns: Sequence[str] = ("wins", "losses", "win_pct"),
-    max_dimension_rows: int = DIMENSION_ROW_LIMIT,
+    max_dimension_rows: int | None = DIMENSION_ROW_LIMIT,
 ) -> DataFrame:
     """Five left joins onto the stats table, one row per stats row (more
     only where a right side repeats a key, as in the source).
