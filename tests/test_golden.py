@@ -223,3 +223,58 @@ def test_cost_metrics(spark):
     assert a.value_score == pytest.approx(2.0) and a.availability == 0.5
     assert a.cost_per_available_ws == 4_000_000.0 and b.cost_per_available_ws is None
     assert a.composite_index == pytest.approx((10 + 6 + 7.5 + 2 + 2 - 2) / 10)
+
+
+def test_tier_value_score_by_group_equals_separate_runs(spark):
+    rows = [(s, share, b, w, t, u) for s in ("a", "b") for share, b, w, t, u in
+            [(0.1, 2.0, 0.2, 0.6, 25.0), (0.1, 1.0, 0.1, 0.5, 20.0), (0.5, 1.0, 0.1, 0.5, 20.0),
+             (0.05, 3.0 if s == "a" else 9.0, 0.3, 0.4, 10.0), (0.05, 1.0, 0.0, 0.7, 30.0)]]
+    df = spark.createDataFrame(rows, "season string, salary_pct_of_cap double, bpm double, ws_per_48 double, "
+                                     "ts_pct double, usg_pct double")
+    grouped = sorted((r.season, r.bpm, r.salary_pct_of_cap, r.value_score)
+                     for r in tier_value_score(df, by=["season"]).collect())
+    separate = sorted((r.season, r.bpm, r.salary_pct_of_cap, r.value_score)
+                      for s in ("a", "b") for r in tier_value_score(df.filter(F.col("season") == s)).collect())
+    assert [g[:3] for g in grouped] == [x[:3] for x in separate]
+    assert all(math.isclose(g[3], x[3], abs_tol=1e-12) for g, x in zip(grouped, separate))
+
+
+def test_lookup_helpers(spark):
+    from valuekit.operators import lookup as L
+    df = spark.createDataFrame([("p1", "Alpha", 2023, "BOS", "2023-24", 100.0), ("p1", "Alpha", 2022, "BOS", "2022-23", 50.0),
+                                ("p2", "Beta", 2023, "LAL", "2023-24", 10.0)],
+                               "player_id string, name string, season_start_year int, team_name_abbr string, "
+                               "season string, missed_game_cost double")
+    assert L.filter_results(df, season_start_year=[2023], team_name_abbr="BOS", pos=None).count() == 1
+    assert [r.season_start_year for r in L.player_history(df, "Alpha").collect()] == [2022, 2023]
+    assert L.player_history(df, "p2").count() == 1
+    assert L.select_present(df, ["name", "nope", "player_id"]).columns == ["name", "player_id"]
+    got = {(r.team_name_abbr, r.season): (r.wasted_salary, r.player_count) for r in L.wasted_cap(df).collect()}
+    assert got == {("BOS", "2023-24"): (100.0, 1), ("BOS", "2022-23"): (50.0, 1), ("LAL", "2023-24"): (10.0, 1)}
+
+
+def test_observed_drop_count_and_file_bound(spark, tmp_out):
+    import glob
+    from pyspark.sql import Observation
+    from valuekit.sources import files
+    obs = Observation("money")
+    df = spark.createDataFrame([("1",), ("$2",), ("3 (TW)",), ("< Minimum",)], "salary string")
+    out = CL.parse_money_text(df, "salary", "amount", {"is_two_way": K.TWO_WAY_MARK,
+                                                       "is_sub_minimum": K.SUB_MINIMUM_MARK}, observation=obs)
+    files.write_parquet(out, f"{tmp_out}/m", n_files=1)
+    assert obs.get["dropped_amount"] == 2 and obs.get["rows_amount"] == 4
+    assert len(glob.glob(f"{tmp_out}/m/*.parquet")) == 1
+    assert spark.read.parquet(f"{tmp_out}/m").count() == 2
+
+
+def test_quality_reports(spark):
+    from valuekit.operators import quality as Q
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None)], "k string, n int")
+    nulls = {r.column_name: (r.null_count, r.status) for r in Q.null_key_report(df, ["k", "n"], "t").collect()}
+    assert nulls == {"k": (1, "WARN"), "n": (1, "WARN")}
+    d = Q.duplicate_key_report(df, ["k", "n"], "t").collect()[0]
+    assert (d.total_rows, d.distinct_keys, d.duplicate_rows) == (4, 3, 1)
+    assert [(r.k, r.n, r["count"]) for r in Q.duplicate_keys(df, ["k", "n"]).collect()] == [("a", 1, 2)]
+    s = Q.cleaning_summary({"t": (df, df.filter("k IS NOT NULL"))}).collect()[0]
+    assert (s.raw_rows, s.clean_rows, s.dropped_rows) == (4, 3, 1)
+    assert Q.preview(df, 2).count() == 2

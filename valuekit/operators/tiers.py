@@ -56,6 +56,7 @@ def tier_value_score(
     tier_col: str = "salary_group",
     splits: Sequence[float] = K.TIER_SPLITS,
     out: str = "value_score",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """D43 (P12, D38-D42): complete-case filter, tiers, tier means joined back
     (``avg_<f>``), differences (``<f>_diff``), global standardisation with the
@@ -65,9 +66,18 @@ def tier_value_score(
     Deliberate change from the source: rows with a NaN feature are dropped
     with the NULL rows, instead of turning their whole tier's mean into NaN
     and silently skipping that tier.
+
+    ``by`` (default none, as in the source: tiers pool all seasons and the
+    standardisation is global) computes tier means and the standardisation
+    within each ``by`` group instead, e.g. per season. The tier table then
+    has up to groups x tiers rows, which is no longer a fixed bound, so its
+    broadcast is left to AQE's run-time size check. Rows whose group value is
+    NULL have no group and are dropped.
     """
     names = [f for f, _ in features]
     cond = F.col(value_col).isNotNull()
+    for b in by:
+        cond = cond & F.col(b).isNotNull()
     for f in names:
         cond = cond & F.col(f).isNotNull() & ~F.isnan(F.col(f))
     rows = assign_tiers(df.filter(cond), value_col, tier_col, splits)
@@ -75,9 +85,11 @@ def tier_value_score(
     aggs = [F.count(F.lit(1)).alias("__n")]
     for f in names:
         aggs += [F.avg(f).alias(f"avg_{f}"), F.var_samp(f).alias(f"__var_{f}")]
-    tiers = rows.groupBy(tier_col).agg(*aggs)
+    by = list(by)
+    tiers = rows.groupBy(*by, tier_col).agg(*aggs)
 
-    everything = Window.partitionBy()  # over the tier table only: at most len(splits) - 1 rows
+    # over the tier table only: at most len(splits) - 1 rows per group
+    everything = Window.partitionBy(*by)
     total_n = F.sum("__n").over(everything)
     pooled = {}
     for f in names:
@@ -85,7 +97,7 @@ def tier_value_score(
         pooled[f"__std_{f}"] = F.sqrt(F.try_divide(ss, (total_n - 1).cast("double")))
     tiers = tiers.withColumns(pooled).drop("__n", *[f"__var_{f}" for f in names])
 
-    joined = rows.join(F.broadcast(tiers), on=tier_col, how="inner")
+    joined = rows.join(tiers if by else F.broadcast(tiers), on=[*by, tier_col], how="inner")
     diffs = {f"{f}_diff": F.col(f) - F.col(f"avg_{f}") for f in names}
     joined = joined.withColumns(diffs)
 
