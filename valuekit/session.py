@@ -49,13 +49,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a local one only
-    when none is configured (local runs and tests)."""
+    """Return the session's checkpoint directory. When none is configured, a
+    local one is created only in local mode (tests, single-machine runs); on a
+    cluster a machine-local folder would be invisible to other executors, so
+    the job stops and asks for ``spark.checkpoint.dir`` instead."""
     d = checkpoint_dir(spark)
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                           "(needed for staged tables and scratch output)")
     d = tempfile.mkdtemp(prefix="valuekit-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
