@@ -43,7 +43,7 @@ def _season_label(y):
 
 
 def _round_cols(df: DataFrame, digits: dict) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
+    return df.withColumns({c: F.expr(f"round({C.q(c)}, {int(d)})") for c, d in digits.items()})
 
 
 # ------------------------------------------------------------------ sources
@@ -291,12 +291,10 @@ def q16_per36(spark: SparkSession, d: str) -> DataFrame:
 
 def _with_stand_in_features(df: DataFrame) -> DataFrame:
     """FIXTURES.md 3.1 stand-ins for the per-36 inputs of the label rules."""
-    c = F.col
-    return df.withColumns({
-        "pts36_in": (c("pts") % 28).cast("double"), "ast36_in": (c("ast") % 10).cast("double"),
-        "trb36_in": (c("trb") % 13).cast("double"), "stl36_in": (c("stl") % 25) / F.lit(10.0),
-        "blk36_in": (c("blk") % 30) / F.lit(10.0), "fg3a36_in": (c("fg3a") % 9).cast("double"),
-    })
+    return df.withColumns({name: F.expr(e) for name, e in (
+        ("pts36_in", "CAST(pts % 28 AS DOUBLE)"), ("ast36_in", "CAST(ast % 10 AS DOUBLE)"),
+        ("trb36_in", "CAST(trb % 13 AS DOUBLE)"), ("stl36_in", "(stl % 25) / 10.0D"),
+        ("blk36_in", "(blk % 30) / 10.0D"), ("fg3a36_in", "CAST(fg3a % 9 AS DOUBLE)"))})
 
 
 STAND_IN_RULES = dict(pts36="pts36_in", ast36="ast36_in", trb36="trb36_in", stl36="stl36_in",

@@ -106,8 +106,33 @@ def lookup(mapping: Mapping[str, object], key: ColumnOrName) -> Column:
     return literal_map(mapping)[col(key)]
 
 
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_num(x: float) -> str:
+    """A double literal for SQL text (``0.12D``), so comparisons and products
+    widen like a Column comparison with a Python float."""
+    return f"{float(x)!r}D"
+
+
+def weighted_sum_sql(terms: Iterable[tuple[str, float]]) -> str:
+    """SQL text of sum(w * c), left to right; negative weights subtract."""
+    out = ""
+    for c, w in terms:
+        t = f"{sql_num(abs(w))} * {q(c)}"
+        out = (t if w >= 0 else f"-({t})") if not out else f"{out} {'+' if w >= 0 else '-'} {t}"
+    if not out:
+        raise ValueError("weighted_sum needs at least one term")
+    return out
+
+
 def weighted_sum(terms: Iterable[tuple[ColumnOrName, float]]) -> Column:
     """sum(w * c) evaluated left to right, in the order given."""
+    terms = list(terms)
+    if all(isinstance(c, str) for c, _ in terms):
+        return F.expr(weighted_sum_sql(terms))
     out: Column | None = None
     for c, w in terms:
         t = F.lit(abs(float(w))) * col(c)

@@ -18,13 +18,17 @@ from valuekit.functions import columns as C
 def per_game_rates(df: DataFrame, stats: Sequence[str] = K.PER_GAME_STATS, games: str = "games",
                    digits: int = 2, suffix: str = "_per_game") -> DataFrame:
     """``round(x / games, 2)``; NULL when games is 0 or NULL."""
-    return df.withColumns({f"{s}{suffix}": C.rounded_ratio(s, games, digits) for s in stats})
+    return df.withColumns({
+        f"{s}{suffix}": F.expr(f"round(try_divide(CAST({C.q(s)} AS DOUBLE), CAST({C.q(games)} AS DOUBLE)), {digits})")
+        for s in stats})
 
 
 def per_minute_rates(df: DataFrame, stats: Sequence[str] = K.PER_MINUTE_STATS, minutes: str = "mp",
                      digits: int = 4, suffix: str = "_per_min") -> DataFrame:
     """``round(x / mp, 4)`` where mp > 0, else NULL."""
-    return df.withColumns({f"{s}{suffix}": C.positive_ratio(s, minutes, digits) for s in stats})
+    m = C.q(minutes)
+    return df.withColumns({
+        f"{s}{suffix}": F.expr(f"CASE WHEN {m} > 0 THEN round({C.q(s)} / {m}, {digits}) END") for s in stats})
 
 
 def production_expr(suffix: str = "_per_game", weights=K.PRODUCTION_WEIGHTS):
@@ -70,9 +74,10 @@ def per36_rates(df: DataFrame, stats: Sequence[str] = K.PER36_STATS, minutes: st
                 share: str = "salary_pct_of_cap") -> DataFrame:
     """``(x / mp) * 36`` in that order, minutes per game, salary in
     millions and the cap share alias."""
-    cols = {"min_per_game": F.col(minutes) / F.col(games)}
-    cols.update({f"{s}_per36": (F.col(s) / F.col(minutes)) * F.lit(36) for s in stats})
-    cols["salary_millions"] = F.col(salary) / F.lit(1_000_000.0)
+    m = C.q(minutes)
+    cols = {"min_per_game": F.expr(f"{m} / {C.q(games)}")}
+    cols.update({f"{s}_per36": F.expr(f"({C.q(s)} / {m}) * 36") for s in stats})
+    cols["salary_millions"] = F.expr(f"{C.q(salary)} / 1000000.0D")
     cols["salary_share"] = F.col(share)
     return df.withColumns(cols)
 
@@ -82,17 +87,17 @@ def value_metrics(df: DataFrame, salary: str = "player_salary", ws: str = "ws",
                   penalty: float = K.SALARY_SHARE_PENALTY, season_games: float = float(K.FULL_SEASON_GAMES)) -> DataFrame:
     """Cost per win share, surplus value score, simple availability,
     cost per available win share, composite index per $1M."""
-    avail = (F.col(games) / F.lit(season_games)).cast("double")
+    sal, w = C.q(salary), C.q(ws)
     df = df.withColumns({
-        "cost_per_ws": F.when(F.col(ws) > 0, F.col(salary) / F.col(ws)),
-        "value_score": F.col(vorp) - F.lit(penalty) * F.col(share),
-        "availability": avail,
+        "cost_per_ws": F.expr(f"CASE WHEN {w} > 0 THEN {sal} / {w} END"),
+        "value_score": F.expr(f"{C.q(vorp)} - {C.sql_num(penalty)} * {C.q(share)}"),
+        "availability": F.expr(f"CAST({C.q(games)} / {C.sql_num(season_games)} AS DOUBLE)"),
     })
+    production = C.weighted_sum_sql((f"{s}_per_game", wt) for s, wt in K.PRODUCTION_WEIGHTS)
     return df.withColumns({
-        "cost_per_available_ws": F.when(
-            (F.col(ws) > 0) & (F.col("availability") > 0),
-            F.col(salary) / (F.col(ws) * F.col("availability"))),
-        "composite_index": production_expr() / F.col("salary_millions"),
+        "cost_per_available_ws": F.expr(
+            f"CASE WHEN {w} > 0 AND availability > 0 THEN {sal} / ({w} * availability) END"),
+        "composite_index": F.expr(f"({production}) / salary_millions"),
     })
 
 

@@ -28,26 +28,25 @@ def archetype_season_rollup(df: DataFrame, keys: Sequence[str] = ("season", "sea
                             median_accuracy: int = 10000) -> DataFrame:
     """D33 (A4-A6): per season x archetype count, means, approximate median of
     cost per win share, salary total, and the two values in millions."""
-    avg = lambda c, name: F.avg(c).alias(name)
-    out = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("player_count"),
-        avg("cost_per_ws", "avg_cost_per_ws"),
-        F.percentile_approx("cost_per_ws", 0.5, median_accuracy).alias("median_cost_per_ws"),
-        avg("value_score", "avg_value_score"),
-        avg("composite_index", "avg_composite_index"),
-        avg("ws", "avg_win_shares"),
-        avg("vorp", "avg_vorp"),
-        avg("per", "avg_per"),
-        avg("salary_millions", "avg_salary_millions"),
-        F.sum("player_salary").alias("total_archetype_salary"),
-        avg("availability", "avg_availability"),
-        avg("ts_pct", "avg_ts_pct"),
-        avg("bpm", "avg_bpm"),
-        avg("ws_per_48", "avg_ws_per_48"),
-    )
+    out = df.groupBy(*keys).agg(*[F.expr(e) for e in (
+        "count(1) AS player_count",
+        "avg(cost_per_ws) AS avg_cost_per_ws",
+        f"percentile_approx(cost_per_ws, 0.5, {int(median_accuracy)}) AS median_cost_per_ws",
+        "avg(value_score) AS avg_value_score",
+        "avg(composite_index) AS avg_composite_index",
+        "avg(ws) AS avg_win_shares",
+        "avg(vorp) AS avg_vorp",
+        "avg(per) AS avg_per",
+        "avg(salary_millions) AS avg_salary_millions",
+        "sum(player_salary) AS total_archetype_salary",
+        "avg(availability) AS avg_availability",
+        "avg(ts_pct) AS avg_ts_pct",
+        "avg(bpm) AS avg_bpm",
+        "avg(ws_per_48) AS avg_ws_per_48",
+    )])
     return out.withColumns({
-        "cost_per_ws_millions": F.col("avg_cost_per_ws") / F.lit(1_000_000.0),
-        "total_archetype_salary_millions": F.col("total_archetype_salary") / F.lit(1_000_000.0),
+        "cost_per_ws_millions": F.expr("avg_cost_per_ws / 1000000.0D"),
+        "total_archetype_salary_millions": F.expr("total_archetype_salary / 1000000.0D"),
     })
 
 
