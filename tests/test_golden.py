@@ -278,3 +278,11 @@ def test_quality_reports(spark):
     s = Q.cleaning_summary({"t": (df, df.filter("k IS NOT NULL"))}).collect()[0]
     assert (s.raw_rows, s.clean_rows, s.dropped_rows) == (4, 3, 1)
     assert Q.preview(df, 2).count() == 2
+
+
+def test_key_profile_one_pass(spark):
+    from valuekit.operators import quality as Q
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("b", None), (None, 2)], "k string, n int")
+    got = {r.item: r.value for r in Q.key_profile(df, ["k", "n"], "t").collect()}
+    assert got == {"total_rows": 5, "distinct_keys": 3, "duplicate_rows": 2, "keys_with_duplicates": 2,
+                   "null_k": 2, "null_n": 1}

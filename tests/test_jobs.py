@@ -14,10 +14,12 @@ def built(spark):
     import tempfile
     out = tempfile.mkdtemp(prefix="valuekit-e2e-")
     report = foundation.run_foundation(spark, os.path.join(FIXTURES, "raw"), f"{out}/clean")
-    analysis.run_unify(spark, f"{out}/clean", f"{out}/unified")
-    analysis.run_composite(spark, f"{out}/unified", f"{out}/cvs", n_files=2)
+    counts = {"unified": analysis.run_unify(spark, f"{out}/clean", f"{out}/unified"),
+              "cvs": analysis.run_composite(spark, f"{out}/unified", f"{out}/cvs", n_files=2)}
     reports = analysis.run_archetypes(spark, f"{out}/unified", f"{out}/arch", report_season="2023-24")
-    analysis.run_tiers(spark, f"{out}/unified", f"{out}/tiers")
+    counts["tiers"] = analysis.run_tiers(spark, f"{out}/unified", f"{out}/tiers")
+    counts["archetypes"] = reports.pop("qualified_rows")
+    reports["counts"] = counts
     return out, {r.table_name: r for r in report.collect()}, reports
 
 
@@ -88,9 +90,22 @@ def test_archetype_outputs(spark, built):
     top = spark.read.parquet(f"{out}/arch/archetype_top_players").collect()
     assert sorted(r.archetype_rank for r in top) == [1, 1]
     assert reports["distribution"].count() == 2 and reports["season_report"].count() == 2
+    assert reports["counts"] == {"unified": 4, "cvs": 1, "tiers": 1, "archetypes": 2}
 
 
 def test_tier_output(spark, built):
     out, _, _ = built
     t = spark.read.parquet(f"{out}/tiers").collect()
     assert [(r.player_id, r.salary_group, r.value_score) for r in t] == [("p1", 4.0, 0.0)]
+
+
+def test_command_line_runs_a_job(tmp_out):
+    import subprocess
+    import sys
+    root = os.path.dirname(FIXTURES.rstrip("/").rsplit("/", 1)[0])
+    env = dict(os.environ, PYTHONPATH=root)
+    r = subprocess.run([sys.executable, "-m", "valuekit.plans.cli", "foundation", "--input",
+                        os.path.join(FIXTURES, "raw"), "--output", f"{tmp_out}/clean", "--local"],
+                       capture_output=True, text=True, env=env, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "nba_stats" in r.stdout and os.path.isdir(f"{tmp_out}/clean/nba_stats")

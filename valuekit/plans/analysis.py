@@ -8,7 +8,7 @@ cached on executors that may be lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from valuekit import schemas as K
@@ -32,9 +32,17 @@ def unify_cleaned(tables: dict) -> DataFrame:
                  sal, cap, tables["nba_expanded_standings_2000_2026"])
 
 
-def run_unify(spark: SparkSession, input_dir: str, output_path: str) -> None:
+def write_counted(df: DataFrame, path: str, **kw) -> int:
+    """Write and return the row count, observed on the write itself
+    (no second job recomputing the output)."""
+    obs = Observation("rows_written")
+    files.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
+    return int(obs.get["rows"])
+
+
+def run_unify(spark: SparkSession, input_dir: str, output_path: str) -> int:
     tables = files.read_parquet_tables(spark, input_dir, CLEANED)
-    files.write_parquet(unify_cleaned(tables), output_path)
+    return write_counted(unify_cleaned(tables), output_path)
 
 
 CVS_COLUMNS = (
@@ -81,8 +89,8 @@ def player_archetype_table(unified: DataFrame, min_games: int = 20) -> DataFrame
     return L.select_present(player_metrics(unified, min_games), PLAYER_ARCHETYPE_COLUMNS)
 
 
-def run_composite(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> None:
-    files.write_parquet(composite_value_table(spark.read.parquet(input_path)), output_path, n_files=n_files)
+def run_composite(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> int:
+    return write_counted(composite_value_table(spark.read.parquet(input_path)), output_path, n_files=n_files)
 
 
 def run_archetypes(spark: SparkSession, input_path: str, output_path: str, report_season: str = "2023-24",
@@ -91,8 +99,8 @@ def run_archetypes(spark: SparkSession, input_path: str, output_path: str, repor
     year), read it back once, then the rollup and top-k tables."""
     out = output_path.rstrip("/")
     metrics = player_metrics(spark.read.parquet(input_path))
-    files.write_parquet(L.select_present(metrics, PLAYER_ARCHETYPE_COLUMNS), f"{out}/player_archetype_metrics",
-                        partition_by=["season_start_year"])
+    n_players = write_counted(L.select_present(metrics, PLAYER_ARCHETYPE_COLUMNS),
+                              f"{out}/player_archetype_metrics", partition_by=["season_start_year"])
     players = spark.read.parquet(f"{out}/player_archetype_metrics")
     # The rollup needs ``salary_millions`` and the averaged inputs: all are in the written table.
     rollup = R.archetype_season_rollup(players)
@@ -101,6 +109,7 @@ def run_archetypes(spark: SparkSession, input_path: str, output_path: str, repor
     files.write_parquet(top, f"{out}/archetype_top_players")
     summary = spark.read.parquet(f"{out}/archetype_season_summary")
     return {
+        "qualified_rows": n_players,
         "distribution": R.label_distribution(players),
         "season_report": R.season_report(summary, report_season),
     }
@@ -121,5 +130,5 @@ def tier_value_table(unified: DataFrame, min_games: int = 20, min_minutes: int =
     return L.select_present(tier_value_score(df), TIER_COLUMNS)
 
 
-def run_tiers(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> None:
-    files.write_parquet(tier_value_table(spark.read.parquet(input_path)), output_path, n_files=n_files)
+def run_tiers(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> int:
+    return write_counted(tier_value_table(spark.read.parquet(input_path)), output_path, n_files=n_files)

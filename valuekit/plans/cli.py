@@ -35,15 +35,16 @@ def main(argv=None) -> None:
     if a.job == "foundation":
         foundation.run_foundation(spark, a.input, a.output).show(truncate=False)
     elif a.job == "unify":
-        analysis.run_unify(spark, a.input, a.output)
+        print(f"rows written: {analysis.run_unify(spark, a.input, a.output)}")
     elif a.job == "composite":
-        analysis.run_composite(spark, a.input, a.output, n_files=a.files)
+        print(f"rows written: {analysis.run_composite(spark, a.input, a.output, n_files=a.files)}")
     elif a.job == "archetypes":
         reports = analysis.run_archetypes(spark, a.input, a.output)
+        print(f"qualified player-seasons: {reports.pop('qualified_rows')}")
         for r in reports.values():
             r.show(truncate=False)
     else:
-        analysis.run_tiers(spark, a.input, a.output, n_files=a.files)
+        print(f"rows written: {analysis.run_tiers(spark, a.input, a.output, n_files=a.files)}")
 
 
 if __name__ == "__main__":
