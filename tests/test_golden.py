@@ -10,7 +10,6 @@ from valuekit.operators import clean as CL
 from valuekit.operators import metrics as M
 from valuekit.operators import rank as R
 from valuekit.operators.dedupe import consolidate, prefer_tagged_rows
-from valuekit.operators.join import normalize_to_cap
 from valuekit.operators.rules import archetype_rules
 from valuekit.operators.tiers import assign_tiers, tier_value_score
 from valuekit.plans import foundation as FD
@@ -286,3 +285,14 @@ def test_key_profile_one_pass(spark):
     got = {r.item: r.value for r in Q.key_profile(df, ["k", "n"], "t").collect()}
     assert got == {"total_rows": 5, "distinct_keys": 3, "duplicate_rows": 2, "keys_with_duplicates": 2,
                    "null_k": 2, "null_n": 1}
+
+
+def test_shuffle_sizing_respects_explicit_settings(spark, tmp_out):
+    from valuekit.plans.tuning import input_bytes, size_shuffles
+    spark.range(1000).write.parquet(f"{tmp_out}/r")
+    assert input_bytes(spark, [f"{tmp_out}/r", f"{tmp_out}/missing"]) > 0
+    chosen = size_shuffles(spark, [f"{tmp_out}/r"], target_mb=64)
+    assert "spark.sql.shuffle.partitions" in chosen or spark.sparkContext.getConf().contains(
+        "spark.sql.shuffle.partitions")
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("64m", str(64 * 1024 * 1024))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

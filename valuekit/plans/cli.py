@@ -26,12 +26,16 @@ def main(argv=None) -> None:
     p.add_argument("--output", required=True)
     p.add_argument("--files", type=int, default=None, help="bound the number of output files")
     p.add_argument("--local", action="store_true")
+    p.add_argument("--no-sizing", action="store_true", help="keep the session's shuffle settings as they are")
     a = p.parse_args(argv)
     if a.local:
         from valuekit.session import local_session
         spark = local_session()
     else:
         spark = SparkSession.builder.appName(f"valuekit-{a.job}").getOrCreate()
+    if not a.no_sizing and not a.local:
+        from valuekit.plans.tuning import size_shuffles
+        size_shuffles(spark, [a.input])
     if a.job == "foundation":
         foundation.run_foundation(spark, a.input, a.output).show(truncate=False)
     elif a.job == "unify":
