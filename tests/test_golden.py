@@ -289,10 +289,16 @@ def test_key_profile_one_pass(spark):
 
 def test_shuffle_sizing_respects_explicit_settings(spark, tmp_out):
     from valuekit.plans.tuning import input_bytes, size_shuffles
-    spark.range(1000).write.parquet(f"{tmp_out}/r")
-    assert input_bytes(spark, [f"{tmp_out}/r", f"{tmp_out}/missing"]) > 0
-    chosen = size_shuffles(spark, [f"{tmp_out}/r"], target_mb=64)
-    assert "spark.sql.shuffle.partitions" in chosen or spark.sparkContext.getConf().contains(
-        "spark.sql.shuffle.partitions")
-    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("64m", str(64 * 1024 * 1024))
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.range(1000).write.parquet(f"{tmp_out}/r")
+        assert input_bytes(spark, [f"{tmp_out}/r", f"{tmp_out}/missing"]) > 0
+        chosen = size_shuffles(spark, [f"{tmp_out}/r"], target_mb=64)
+        assert "spark.sql.shuffle.partitions" in chosen or spark.sparkContext.getConf().contains(
+            "spark.sql.shuffle.partitions")
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("64m", str(64 * 1024 * 1024))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
