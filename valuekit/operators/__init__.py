@@ -19,6 +19,7 @@ from valuekit.operators.join import bounded_broadcast, normalize_to_cap, unify
 from valuekit.operators.lookup import filter_results, player_history, select_present, wasted_cap  # noqa: F401
 from valuekit.operators.metrics import (  # noqa: F401
     availability,
+    production_expr,
     composite_value,
     qualify_for_archetypes,
     qualify_for_scoring,
@@ -31,6 +32,7 @@ from valuekit.operators.quality import (  # noqa: F401
     cleaning_summary,
     duplicate_key_report,
     duplicate_keys,
+    key_profile,
     null_key_report,
     preview,
 )

@@ -22,8 +22,8 @@ from valuekit.plans import analysis, foundation
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="valuekit")
     p.add_argument("job", choices=["foundation", "unify", "composite", "archetypes", "tiers"])
-    p.add_argument("--input", required=True)
-    p.add_argument("--output", required=True)
+    p.add_argument("--input", "--input-dir", "--input-path", dest="input", required=True)
+    p.add_argument("--output", "--output-dir", "--output-path", dest="output", required=True)
     p.add_argument("--files", type=int, default=None, help="bound the number of output files")
     p.add_argument("--local", action="store_true")
     p.add_argument("--no-sizing", action="store_true", help="keep the session's shuffle settings as they are")
