@@ -151,3 +151,54 @@ def test_standardize_matches_ml_standard_scaler(spark):
     ref = scaled.select("rid", "value_score", (0.4 * arr[0] + 0.25 * arr[1] + 0.2 * arr[2] + 0.15 * arr[3])
                         .alias("ref")).collect()
     assert all(math.isclose(r.value_score, r.ref, rel_tol=1e-9, abs_tol=1e-12) for r in ref)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.sampled_from(["BOS", "LAL", "ATL", None]),
+                          st.integers(min_value=0, max_value=10**9), st.booleans()), min_size=1, max_size=30))
+def test_consolidate_matches_brute_force(spark, rows):
+    from valuekit.operators.dedupe import consolidate
+    df = spark.createDataFrame(rows, "k string, team string, salary long, tw boolean")
+    got = {r.k: (r.salary, r.teams, r.tw) for r in consolidate(df, ["k"], "salary", "team", flags=("tw",)).collect()}
+    want = {}
+    for k in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == k]
+        teams = " / ".join(sorted({r[1] for r in mine if r[1] is not None}))
+        want[k] = (sum(r[2] for r in mine), teams, any(r[3] for r in mine))
+    assert got == want
+
+
+def _half_up(num: int, den: int, digits: int) -> float:
+    from decimal import ROUND_HALF_UP, Decimal
+    return float((Decimal(num) / Decimal(den)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=0, max_value=200), st.integers(min_value=0, max_value=200)),
+                min_size=1, max_size=30))
+def test_record_split_and_win_share(spark, records):
+    from valuekit.operators import clean as CL
+    texts = [f"{w}-{l}" for w, l in records] + ["5", "x-3", "-", "7-"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "rid int, overall string")
+    out = CL.win_share(CL.split_record(df, "overall", "-", ["wins", "losses"]), "wins", "losses", "win_pct")
+    got = {r.rid: (r.wins, r.losses, r.win_pct) for r in out.collect()}
+    for i, (w, l) in enumerate(records):
+        assert got[i] == (w, l, _half_up(w, w + l, 4) if w + l > 0 else None)
+    n = len(records)
+    assert got[n] == (5, None, None) and got[n + 1] == (None, 3, None)
+    assert got[n + 2] == (None, None, None) and got[n + 3] == (7, None, None)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(min_value=1, max_value=60_000_000), st.integers(min_value=0, max_value=3)),
+                min_size=1, max_size=30))
+def test_cap_share_rounds_half_up(spark, rows):
+    from valuekit.operators.join import normalize_to_cap
+    caps = {0: 0, 1: 101_869_000, 2: 136_021_000, 3: None}
+    df = spark.createDataFrame([(i, s, str(c)) for i, (s, c) in enumerate(rows)], "rid int, salary long, season string")
+    cap_df = spark.createDataFrame([(str(k), v) for k, v in caps.items() if v is not None],
+                                   "season string, salary_cap int")
+    got = {r.rid: r.salary_pct_of_cap for r in normalize_to_cap(df, cap_df).collect()}
+    for i, (s, c) in enumerate(rows):
+        cap = caps[c]
+        assert got[i] == (_half_up(s, cap, 6) if cap else None)
