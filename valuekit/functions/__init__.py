@@ -1,15 +1,11 @@
 """Native column expressions used by the operators."""
 
 from valuekit.functions.columns import (  # noqa: F401
-    ge_finite,
     literal_map,
     lookup,
-    lt_finite,
     not_blank,
     not_sentinel,
-    positive_ratio,
     ratio,
-    rounded_ratio,
     season_start_year,
     text_to_integer,
     strip_cr,

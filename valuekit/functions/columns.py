@@ -70,29 +70,6 @@ def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))
 
 
-def rounded_ratio(num: ColumnOrName, den: ColumnOrName, digits: int) -> Column:
-    return F.round(ratio(num, den), digits)
-
-
-def positive_ratio(num: ColumnOrName, den: ColumnOrName, digits: int | None = None) -> Column:
-    """num / den only where den > 0, else NULL; optionally rounded half-up."""
-    r = col(num) / col(den)
-    if digits is not None:
-        r = F.round(r, digits)
-    return F.when(col(den) > 0, r)
-
-
-def ge_finite(c: ColumnOrName, threshold: float) -> Column:
-    """c >= threshold, false for NaN (a Spark comparison would say true)."""
-    x = col(c)
-    return ~F.isnan(x) & (x >= F.lit(threshold))
-
-
-def lt_finite(c: ColumnOrName, threshold: float) -> Column:
-    x = col(c)
-    return ~F.isnan(x) & (x < F.lit(threshold))
-
-
 def literal_map(mapping: Mapping[str, object]) -> Column:
     """A constant map column; constant-folded by Catalyst."""
     items: list[Column] = []
