@@ -99,13 +99,19 @@ def test_tier_output(spark, built):
     assert [(r.player_id, r.salary_group, r.value_score) for r in t] == [("p1", 4.0, 0.0)]
 
 
-def test_command_line_runs_a_job(tmp_out):
+def test_command_line_runs_a_job(spark, tmp_out):
     import subprocess
     import sys
     root = os.path.dirname(FIXTURES.rstrip("/").rsplit("/", 1)[0])
     env = dict(os.environ, PYTHONPATH=root)
-    r = subprocess.run([sys.executable, "-m", "valuekit.plans.cli", "foundation", "--input",
-                        os.path.join(FIXTURES, "raw"), "--output", f"{tmp_out}/clean", "--local"],
+    r = subprocess.run([sys.executable, "-m", "valuekit.plans.cli", "foundation", "--input-dir",
+                        os.path.join(FIXTURES, "raw"), "--output-dir", f"{tmp_out}/clean", "--local",
+                        "--salt-buckets", "3"],
                        capture_output=True, text=True, env=env, timeout=600)
     assert r.returncode == 0, r.stderr[-2000:]
-    assert "nba_stats" in r.stdout and os.path.isdir(f"{tmp_out}/clean/nba_stats")
+    assert "nba_stats" in r.stdout
+    # the salted prefer-aggregate keeps the same rows as the default plan
+    keys = sorted((x.player_id, x.season, x.team_name_abbr)
+                  for x in spark.read.parquet(f"{tmp_out}/clean/nba_stats").collect())
+    assert keys == [("p1", "2023-24", "BOS"), ("p2", "2023-24", "2TM"), ("p3", "2019-20", "BOS"),
+                    ("p3", "2023-24", "BOS")]

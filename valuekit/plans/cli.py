@@ -25,6 +25,8 @@ def main(argv=None) -> None:
     p.add_argument("--input", "--input-dir", "--input-path", dest="input", required=True)
     p.add_argument("--output", "--output-dir", "--output-path", dest="output", required=True)
     p.add_argument("--files", type=int, default=None, help="bound the number of output files")
+    p.add_argument("--salt-buckets", type=int, default=1,
+                   help="foundation: spread hot (player, season) keys over this many join partitions")
     p.add_argument("--local", action="store_true")
     p.add_argument("--no-sizing", action="store_true", help="keep the session's shuffle settings as they are")
     a = p.parse_args(argv)
@@ -37,7 +39,7 @@ def main(argv=None) -> None:
         from valuekit.plans.tuning import size_shuffles
         size_shuffles(spark, [a.input])
     if a.job == "foundation":
-        foundation.run_foundation(spark, a.input, a.output).show(truncate=False)
+        foundation.run_foundation(spark, a.input, a.output, salt_buckets=a.salt_buckets).show(truncate=False)
     elif a.job == "unify":
         print(f"rows written: {analysis.run_unify(spark, a.input, a.output)}")
     elif a.job == "composite":

@@ -39,12 +39,12 @@ def clean_player_profiles(df: DataFrame) -> DataFrame:
     return CL.flag_not_sentinel(df, "draft_year", -1, "is_drafted")
 
 
-def clean_nba_stats(df: DataFrame, aggregate_tags=K.AGGREGATE_TEAM_TAGS) -> DataFrame:
+def clean_nba_stats(df: DataFrame, aggregate_tags=K.AGGREGATE_TEAM_TAGS, salt_buckets: int = 1) -> DataFrame:
     """Sentinel seasons out, aggregate rows preferred, shooting ranges
     checked, per-game and per-minute rates, season start year."""
     df = CL.strip_carriage_returns(df)
     df = CL.drop_sentinels(df, "season", K.SEASON_SENTINELS)
-    df = prefer_tagged_rows(df, PLAYER_SEASON, "team_name_abbr", aggregate_tags)
+    df = prefer_tagged_rows(df, PLAYER_SEASON, "team_name_abbr", aggregate_tags, salt_buckets=salt_buckets)
     df = CL.null_outside(df, K.SHOOTING_BOUNDS)
     df = per_game_rates(df)
     df = per_minute_rates(df)
@@ -69,11 +69,11 @@ def clean_salary_cap(df: DataFrame) -> DataFrame:
     return CL.add_season_start_year(CL.strip_carriage_returns(df))
 
 
-def clean_advanced_stats(df: DataFrame, aggregate_tags=K.AGGREGATE_TEAM_TAGS) -> DataFrame:
+def clean_advanced_stats(df: DataFrame, aggregate_tags=K.AGGREGATE_TEAM_TAGS, salt_buckets: int = 1) -> DataFrame:
     """D11."""
     df = CL.strip_carriage_returns(df)
     df = CL.drop_sentinels(df, "season", K.SEASON_SENTINELS)
-    df = prefer_tagged_rows(df, PLAYER_SEASON, "team_name_abbr", aggregate_tags)
+    df = prefer_tagged_rows(df, PLAYER_SEASON, "team_name_abbr", aggregate_tags, salt_buckets=salt_buckets)
     df = CL.null_outside(df, K.ADVANCED_BOUNDS)
     return CL.add_season_start_year(df)
 
@@ -94,15 +94,16 @@ def normalize_salary_to_cap(salaries: DataFrame, caps: DataFrame) -> DataFrame:
                             out="salary_pct_of_cap", digits=6)
 
 
-def clean_all(raw: dict) -> dict:
-    """The six cleaned tables from the six raw ones (lazy)."""
+def clean_all(raw: dict, salt_buckets: int = 1) -> dict:
+    """The six cleaned tables from the six raw ones (lazy); ``salt_buckets``
+    spreads hot (player, season) keys of the prefer-aggregate step."""
     caps = clean_salary_cap(raw["nba_salary_cap"])
     return {
         "player_profiles": clean_player_profiles(raw["player_profiles"]),
-        "nba_stats": clean_nba_stats(raw["nba_stats"]),
+        "nba_stats": clean_nba_stats(raw["nba_stats"], salt_buckets=salt_buckets),
         "nba_salaries": normalize_salary_to_cap(clean_nba_salaries(raw["nba_salaries"]), caps),
         "nba_salary_cap": caps,
-        "nba_advanced_player_stats": clean_advanced_stats(raw["nba_advanced_player_stats"]),
+        "nba_advanced_player_stats": clean_advanced_stats(raw["nba_advanced_player_stats"], salt_buckets=salt_buckets),
         "nba_expanded_standings_2000_2026": clean_expanded_standings(raw["nba_expanded_standings_2000_2026"]),
     }
 
@@ -131,11 +132,11 @@ def stage_raw(spark: SparkSession, raw: dict) -> tuple[dict, dict]:
     return staged, counts
 
 
-def run_foundation(spark: SparkSession, input_dir: str, output_dir: str) -> DataFrame:
+def run_foundation(spark: SparkSession, input_dir: str, output_dir: str, salt_buckets: int = 1) -> DataFrame:
     """Stage, clean, write; returns the cleaning report (the key checks
     are written next to it)."""
     staged, raw_counts = stage_raw(spark, files.load_csv_tables(spark, input_dir, K.RAW_TABLES))
-    cleaned = clean_all(staged)
+    cleaned = clean_all(staged, salt_buckets=salt_buckets)
     out = output_dir.rstrip("/")
     clean_counts = {}
     for name, df in cleaned.items():
