@@ -3,14 +3,19 @@
 ``prefer_tagged_rows`` (D4) keeps, per key, the rows carrying an aggregate tag
 and falls back to the untagged rows only where no tagged row exists.
 
-Plan shape, chosen for skew: the tagged key set is a pre-aggregated
-``distinct`` (partial aggregation on the map side, so a key holding a third of
-all rows collapses to one row per map task before the shuffle) and the
-untagged rows are anti-joined against it. AQE turns the anti-join into a
-broadcast hash join when the key set is small at run time and otherwise keeps a
-sort-merge join whose skewed partitions it splits. Tagged rows are never
-shuffled. A window ``max(tag) over (partition by key)`` would shuffle every row
-and buffer a hot key's whole group in one task, so it is not used.
+Plan shape, chosen for skew: the untagged rows are anti-joined against the
+keys of the tagged rows. AQE turns the anti-join into a broadcast hash join
+when the key side is small at run time; otherwise it stays a sort-merge join
+whose skewed partitions (a key holding a third of all rows) AQE splits
+across tasks. That split needs a plain shuffle on both sides, so by default
+the key side is not de-duplicated first: a ``distinct`` would hand its own
+hash partitioning to the join, and Spark then skips the skew split (checked in
+``tests/test_skew.py``). A sort-merge anti-join buffers only the first
+matching key row, so duplicate keys cost shuffle bytes, not memory;
+``dedupe_keys=True`` pre-aggregates them for inputs with many tagged rows per
+key. Tagged rows themselves are never shuffled. A window
+``max(tag) over (partition by key)`` would shuffle every row and buffer a hot
+key's whole group in one task, so it is not used.
 
 ``consolidate`` (A1) folds several rows per key into one with a sum, a sorted
 distinct label list and OR-ed flags; all of it is partial-aggregated.
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 
 
 def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: Iterable[str],
-                       salt_buckets: int = 1) -> DataFrame:
+                       salt_buckets: int = 1, dedupe_keys: bool = False) -> DataFrame:
     """D4 (P8, P9, A2, J1/J2, U1).
 
     Keeps every row whose ``tag_col`` is in ``tags`` plus every row whose tag
@@ -42,7 +47,9 @@ def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: I
     keys = list(keys)
     is_tagged = F.col(tag_col).isin(list(tags))
     tagged = df.filter(is_tagged)
-    tagged_keys = tagged.select(*keys).distinct()
+    tagged_keys = tagged.select(*keys)
+    if dedupe_keys or salt_buckets > 1:
+        tagged_keys = tagged_keys.distinct()
     untagged = df.filter(~is_tagged)
     if salt_buckets > 1:
         others = [c for c in df.columns if c not in keys] or keys
