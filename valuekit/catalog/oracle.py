@@ -360,16 +360,20 @@ dd AS (
     t.ts_pct - a.avg_ts_pct AS ts_pct_diff, t.usg_pct - a.avg_usg_pct AS usg_pct_diff
   FROM t JOIN a ON t.salary_group = a.salary_group),
 s AS (
-  SELECT avg(bpm_diff) AS m1, stddev_samp(bpm_diff) AS s1, avg(ws_per_48_diff) AS m2,
-    stddev_samp(ws_per_48_diff) AS s2, avg(ts_pct_diff) AS m3, stddev_samp(ts_pct_diff) AS s3,
-    avg(usg_pct_diff) AS m4, stddev_samp(usg_pct_diff) AS s4
+  SELECT dd.*,
+    avg(bpm_diff) OVER () AS m1, stddev_samp(bpm_diff) OVER () AS s1,
+    avg(ws_per_48_diff) OVER () AS m2, stddev_samp(ws_per_48_diff) OVER () AS s2,
+    avg(ts_pct_diff) OVER () AS m3, stddev_samp(ts_pct_diff) OVER () AS s3,
+    avg(usg_pct_diff) OVER () AS m4, stddev_samp(usg_pct_diff) OVER () AS s4
   FROM dd)
-SELECT dd.*, round(
+SELECT salary_group, l_orderkey, l_linenumber, salary_pct_of_cap, bpm, ws_per_48, ts_pct, usg_pct,
+  avg_bpm, avg_ws_per_48, avg_ts_pct, avg_usg_pct, bpm_diff, ws_per_48_diff, ts_pct_diff, usg_pct_diff,
+  round(
     0.40 * coalesce((bpm_diff - m1) / nullif(s1, 0), 0)
   + 0.25 * coalesce((ws_per_48_diff - m2) / nullif(s2, 0), 0)
   + 0.20 * coalesce((ts_pct_diff - m3) / nullif(s3, 0), 0)
   + 0.15 * coalesce((usg_pct_diff - m4) / nullif(s4, 0), 0), 6) AS value_score
-FROM dd, s""",
+FROM s""",
 
     "q25_quality_report": """
 WITH li AS (SELECT l_orderkey, nullif(l_linenumber, 7) AS l_linenumber, l_returnflag FROM lineitem),
