@@ -115,3 +115,14 @@ def test_command_line_runs_a_job(spark, tmp_out):
                   for x in spark.read.parquet(f"{tmp_out}/clean/nba_stats").collect())
     assert keys == [("p1", "2023-24", "BOS"), ("p2", "2023-24", "2TM"), ("p3", "2019-20", "BOS"),
                     ("p3", "2023-24", "BOS")]
+
+
+def test_lookup_prunes_partitions(spark, built):
+    from valuekit.operators import lookup as L
+    out, _, _ = built
+    players = spark.read.parquet(f"{out}/arch/player_archetype_metrics")
+    hit = L.filter_results(players, season_start_year=[2023], archetype="Rim Protector")
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "FileScan" in line][0]
+    assert "PartitionFilters: [isnotnull(season_start_year" in scan and "2023" in scan.split("PartitionFilters")[1]
+    assert [r.player_id for r in hit.collect()] == ["p2"]
