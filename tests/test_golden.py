@@ -302,3 +302,12 @@ def test_shuffle_sizing_respects_explicit_settings(spark, tmp_out):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_counted_write_of_an_empty_result(spark, tmp_out):
+    from valuekit.sources import files
+    empty = spark.range(100).select((F.col("id") % 3).alias("y"), F.col("id")).filter(F.col("id") < 0)
+    assert files.write_parquet_counted(empty, f"{tmp_out}/e", partition_by=["y"]) == 0
+    assert files.write_parquet_counted(empty, f"{tmp_out}/f") == 0
+    full = spark.range(100).select((F.col("id") % 3).alias("y"), F.col("id"))
+    assert files.write_parquet_counted(full, f"{tmp_out}/g", partition_by=["y"]) == 100

@@ -8,7 +8,7 @@ cached on executors that may be lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuekit import schemas as K
@@ -35,9 +35,7 @@ def unify_cleaned(tables: dict) -> DataFrame:
 def write_counted(df: DataFrame, path: str, **kw) -> int:
     """Write and return the row count, observed on the write itself
     (no second job recomputing the output)."""
-    obs = Observation("rows_written")
-    files.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
-    return int(obs.get["rows"])
+    return files.write_parquet_counted(df, path, **kw)
 
 
 def run_unify(spark: SparkSession, input_dir: str, output_path: str) -> int:

@@ -16,7 +16,6 @@ Each cleaner is a configuration of generic operators. Plan of the job:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from valuekit import schemas as K
 from valuekit.operators import clean as CL
@@ -124,11 +123,9 @@ def stage_raw(spark: SparkSession, raw: dict) -> tuple[dict, dict]:
     raw row counts, observed during the same write."""
     staged, counts = {}, {}
     for name, df in raw.items():
-        obs = Observation(f"raw_{name}")
         path = scratch_path(spark, f"staged_{name}")
-        files.write_parquet(CL.strip_carriage_returns(df).observe(obs, F.count(F.lit(1)).alias("rows")), path)
-        counts[name] = int(obs.get["rows"])
-        staged[name] = spark.read.parquet(path)
+        counts[name] = files.write_parquet_counted(CL.strip_carriage_returns(df), path, name=f"raw_{name}")
+        staged[name] = spark.read.schema(df.schema).parquet(path)
     return staged, counts
 
 
@@ -138,11 +135,8 @@ def run_foundation(spark: SparkSession, input_dir: str, output_dir: str, salt_bu
     staged, raw_counts = stage_raw(spark, files.load_csv_tables(spark, input_dir, K.RAW_TABLES))
     cleaned = clean_all(staged, salt_buckets=salt_buckets)
     out = output_dir.rstrip("/")
-    clean_counts = {}
-    for name, df in cleaned.items():
-        obs = Observation(f"clean_{name}")
-        files.write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{out}/{name}")
-        clean_counts[name] = int(obs.get["rows"])
+    clean_counts = {name: files.write_parquet_counted(df, f"{out}/{name}", name=f"clean_{name}")
+                    for name, df in cleaned.items()}
     report = spark.createDataFrame(
         [(n, raw_counts[n], clean_counts[n], raw_counts[n] - clean_counts[n]) for n in cleaned],
         "table_name string, raw_rows bigint, clean_rows bigint, dropped_rows bigint")

@@ -7,4 +7,5 @@ from valuekit.sources.files import (  # noqa: F401
     read_parquet_tables,
     write_csv,
     write_parquet,
+    write_parquet_counted,
 )

@@ -19,7 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -71,6 +72,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     writer.parquet(path)
 
 
+def write_parquet_counted(df: DataFrame, path: str, name: str = "rows_written", **kw) -> int:
+    """``write_parquet`` that returns the number of rows written, observed on
+    the write itself (no second job over the output). When the result is
+    empty, the optimiser can drop the observation with the empty plan; the
+    count then comes from the written files' metadata, read with the known
+    schema (an empty partitioned write leaves no file to infer it from)."""
+    obs = Observation(name)
+    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - metrics missing because the empty plan was pruned
+        return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
     writer = df.write.mode(mode).option("header", "true")
     for k, v in options.items():
