@@ -58,7 +58,7 @@ def raw_tables(spark: SparkSession, d: str) -> dict:
     stat_cols = ["games", "mp", "pts", "trb", "ast", "stl", "blk", "tov"]
     single = per_team.withColumn("team_name_abbr", _pick(TEAMS, c("t"))).drop("t")
     multi = (per_team.groupBy("pk", "y").agg(F.count(F.lit(1)).alias("n"), *[F.sum(s).alias(s) for s in stat_cols])
-             .filter(c("n") > 1).withColumn("team_name_abbr", F.concat(F.least(c("n"), F.lit(6)).cast("string"),
+             .filter(c("n") > 1).withColumn("team_name_abbr", F.concat(F.least(c("n"), F.lit(4)).cast("string"),
                                                                        F.lit("TM"))).drop("n"))
     rows = single.unionByName(multi).select(
         F.concat(F.lit("p"), c("pk").cast("string")).alias("player_id"), _season(c("y")).alias("season"),
