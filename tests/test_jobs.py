@@ -23,6 +23,20 @@ def built(spark):
     return out, {r.table_name: r for r in report.collect()}, reports
 
 
+def test_key_check_report(spark, built):
+    out, _, _ = built
+    checks = {(r.table_name, r.item): r.value for r in spark.read.parquet(f"{out}/clean/_reports/key_checks").collect()}
+    assert checks[("nba_stats", "duplicate_rows")] == 0 and checks[("nba_stats", "null_player_id")] == 0
+    assert checks[("player_profiles", "total_rows")] == 3
+    assert checks[("nba_expanded_standings_2000_2026", "duplicate_rows")] == 2  # several teams per season
+
+
+def test_run_all(spark, tmp_out):
+    from valuekit.plans import analysis as A
+    counts = A.run_all(spark, os.path.join(FIXTURES, "raw"), f"{tmp_out}/all")
+    assert (counts["unified"], counts["composite"], counts["archetypes"], counts["tiers"]) == (4, 1, 2, 1)
+
+
 def test_cleaning_report(built):
     _, rep, _ = built
     assert (rep["player_profiles"].raw_rows, rep["player_profiles"].clean_rows) == (4, 3)

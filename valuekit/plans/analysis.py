@@ -130,3 +130,17 @@ def tier_value_table(unified: DataFrame, min_games: int = 20, min_minutes: int =
 
 def run_tiers(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> int:
     return write_counted(tier_value_table(spark.read.parquet(input_path)), output_path, n_files=n_files)
+
+
+def run_all(spark: SparkSession, raw_dir: str, output_dir: str, salt_buckets: int = 1) -> dict:
+    """The whole chain: foundation -> unify -> composite, archetypes, tiers,
+    each reading the previous job's written tables. Returns row counts."""
+    from valuekit.plans import foundation
+    out = output_dir.rstrip("/")
+    report = foundation.run_foundation(spark, raw_dir, f"{out}/clean", salt_buckets=salt_buckets)
+    counts = {f"clean_{r.table_name}": r.clean_rows for r in report.collect()}
+    counts["unified"] = run_unify(spark, f"{out}/clean", f"{out}/unified")
+    counts["composite"] = run_composite(spark, f"{out}/unified", f"{out}/composite_value_score")
+    counts["archetypes"] = run_archetypes(spark, f"{out}/unified", f"{out}/archetypes")["qualified_rows"]
+    counts["tiers"] = run_tiers(spark, f"{out}/unified", f"{out}/salary_tier_value_score")
+    return counts

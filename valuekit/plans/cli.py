@@ -5,6 +5,7 @@
     spark-submit -m valuekit.plans.cli composite  --input UNIFIED --output OUT
     spark-submit -m valuekit.plans.cli archetypes --input UNIFIED --output OUT
     spark-submit -m valuekit.plans.cli tiers      --input UNIFIED --output OUT
+    spark-submit -m valuekit.plans.cli all        --input RAW_DIR --output OUT_DIR
 
 Session settings (shuffle partitions, AQE, checkpoint directory) come from
 the submitter; ``--local`` builds a local session for trying things out.
@@ -21,7 +22,7 @@ from valuekit.plans import analysis, foundation
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="valuekit")
-    p.add_argument("job", choices=["foundation", "unify", "composite", "archetypes", "tiers"])
+    p.add_argument("job", choices=["foundation", "unify", "composite", "archetypes", "tiers", "all"])
     p.add_argument("--input", "--input-dir", "--input-path", dest="input", required=True)
     p.add_argument("--output", "--output-dir", "--output-path", dest="output", required=True)
     p.add_argument("--files", type=int, default=None, help="bound the number of output files")
@@ -38,7 +39,10 @@ def main(argv=None) -> None:
     if not a.no_sizing and not a.local:
         from valuekit.plans.tuning import size_shuffles
         size_shuffles(spark, [a.input])
-    if a.job == "foundation":
+    if a.job == "all":
+        for k, v in analysis.run_all(spark, a.input, a.output, salt_buckets=a.salt_buckets).items():
+            print(f"{k}: {v}")
+    elif a.job == "foundation":
         foundation.run_foundation(spark, a.input, a.output, salt_buckets=a.salt_buckets).show(truncate=False)
     elif a.job == "unify":
         print(f"rows written: {analysis.run_unify(spark, a.input, a.output)}")
