@@ -6,7 +6,7 @@
   (first-max scorer from the tests);
 * tier value score: one pooled aggregate + broadcast vs the pyspark.ml route
   (Bucketizer, group means joined back, VectorAssembler, StandardScaler.fit);
-* prefer-aggregate: distinct-key anti-join vs a window over the key.
+* prefer-aggregate: anti-join on the tagged keys vs a window over the key.
 
 Each variant is materialised with the ``noop`` sink; best of three runs.
 Prints one JSON line.

@@ -34,8 +34,9 @@ def unify_cleaned(tables: dict) -> DataFrame:
 
 def write_counted(df: DataFrame, path: str, **kw) -> int:
     """Write and return the row count, observed on the write itself
-    (no second job recomputing the output)."""
-    return files.write_parquet_counted(df, path, **kw)
+    (no second job recomputing the output). The observation is named after
+    the output path, so jobs running side by side never share a name."""
+    return files.write_parquet_counted(df, path, name="rows_" + path.rstrip("/").rsplit("/", 1)[-1], **kw)
 
 
 def run_unify(spark: SparkSession, input_dir: str, output_path: str) -> int:
@@ -140,7 +141,10 @@ def run_all(spark: SparkSession, raw_dir: str, output_dir: str, salt_buckets: in
     report = foundation.run_foundation(spark, raw_dir, f"{out}/clean", salt_buckets=salt_buckets)
     counts = {f"clean_{r.table_name}": r.clean_rows for r in report.collect()}
     counts["unified"] = run_unify(spark, f"{out}/clean", f"{out}/unified")
-    counts["composite"] = run_composite(spark, f"{out}/unified", f"{out}/composite_value_score")
-    counts["archetypes"] = run_archetypes(spark, f"{out}/unified", f"{out}/archetypes")["qualified_rows"]
-    counts["tiers"] = run_tiers(spark, f"{out}/unified", f"{out}/salary_tier_value_score")
+    # the three analyses only read the unified table: run them side by side
+    counts.update(foundation.run_concurrently({
+        "composite": lambda: run_composite(spark, f"{out}/unified", f"{out}/composite_value_score"),
+        "archetypes": lambda: run_archetypes(spark, f"{out}/unified", f"{out}/archetypes")["qualified_rows"],
+        "tiers": lambda: run_tiers(spark, f"{out}/unified", f"{out}/salary_tier_value_score"),
+    }))
     return counts

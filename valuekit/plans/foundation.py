@@ -118,15 +118,27 @@ KEY_COLUMNS = {
 }
 
 
+def run_concurrently(tasks: dict, max_workers: int = 6) -> dict:
+    """Run independent Spark jobs from driver threads: the scheduler fills
+    idle task slots of one table's job with another's tasks instead of
+    waiting for each job's tail. Results keep the input order."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(tasks)))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def stage_raw(spark: SparkSession, raw: dict) -> tuple[dict, dict]:
     """Parse each raw CSV once into Parquet under the shared checkpoint
     folder (``\\r`` stripped on the way); returns the staged tables and their
-    raw row counts, observed during the same write."""
-    staged, counts = {}, {}
-    for name, df in raw.items():
-        path = scratch_path(spark, f"staged_{name}")
-        counts[name] = files.write_parquet_counted(CL.strip_carriage_returns(df), path, name=f"raw_{name}")
-        staged[name] = spark.read.schema(df.schema).parquet(path)
+    raw row counts, observed during the same write. Tables are staged
+    concurrently."""
+    paths = {name: scratch_path(spark, f"staged_{name}") for name in raw}
+    counts = run_concurrently({
+        name: (lambda n=name, df=df: files.write_parquet_counted(CL.strip_carriage_returns(df), paths[n],
+                                                                 name=f"raw_{n}"))
+        for name, df in raw.items()})
+    staged = {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in raw.items()}
     return staged, counts
 
 
@@ -136,8 +148,9 @@ def run_foundation(spark: SparkSession, input_dir: str, output_dir: str, salt_bu
     staged, raw_counts = stage_raw(spark, files.load_csv_tables(spark, input_dir, K.RAW_TABLES))
     cleaned = clean_all(staged, salt_buckets=salt_buckets)
     out = output_dir.rstrip("/")
-    clean_counts = {name: files.write_parquet_counted(df, f"{out}/{name}", name=f"clean_{name}")
-                    for name, df in cleaned.items()}
+    clean_counts = run_concurrently({
+        name: (lambda n=name, df=df: files.write_parquet_counted(df, f"{out}/{n}", name=f"clean_{n}"))
+        for name, df in cleaned.items()})
     report = spark.createDataFrame(
         [(n, raw_counts[n], clean_counts[n], raw_counts[n] - clean_counts[n]) for n in cleaned],
         "table_name string, raw_rows bigint, clean_rows bigint, dropped_rows bigint")
