@@ -311,3 +311,19 @@ def test_counted_write_of_an_empty_result(spark, tmp_out):
     assert files.write_parquet_counted(empty, f"{tmp_out}/f") == 0
     full = spark.range(100).select((F.col("id") % 3).alias("y"), F.col("id"))
     assert files.write_parquet_counted(full, f"{tmp_out}/g", partition_by=["y"]) == 100
+
+
+def test_text_to_integer_trims_control_characters(spark):
+    from valuekit.functions.columns import text_to_integer
+    texts = ["\x015\x01", "5\x00", "\x0b7", " 12.9 ", "-.5", ".", "+", "1..2", "99999999999999999999"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.v for r in df.select("i", text_to_integer("t").alias("v")).orderBy("i").collect()]
+    assert got == [5, 5, 7, 12, 0, 0, None, None, None]
+
+
+def test_tiers_with_a_finite_last_split(spark):
+    splits = (0.0, 0.5, 1.0)
+    df = spark.createDataFrame([(0.0,), (0.49,), (0.5,), (1.0,)], "s double")
+    assert [r.t for r in assign_tiers(df, "s", "t", splits).orderBy("s").collect()] == [0.0, 0.0, 1.0, 1.0]
+    with pytest.raises(Exception):
+        assign_tiers(spark.createDataFrame([(1.01,)], "s double"), "s", "t", splits).collect()
