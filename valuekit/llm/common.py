@@ -22,6 +22,15 @@ def ship(module_name: str) -> None:
 ship(__name__)
 
 
+def kept_in_process(key: tuple, make):
+    """What ``make()`` returns, made once in a Python worker and shared by the
+    tasks that run in it (for read-only models and bounded caches)."""
+    kept = sys.__dict__.setdefault("_valuekit_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
