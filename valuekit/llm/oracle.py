@@ -1,3 +1,5 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from valuekit.llm import license
+
+ORACLE: dict[str, str] = {"op3_license": license.ORACLE_SQL}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from valuekit.llm.bpe import op5_bpe
+from valuekit.llm.license import op3_license
 
 QUERIES = {
+    "op3_license": op3_license,
     "op5_bpe": op5_bpe,
 }
