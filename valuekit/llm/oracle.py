@@ -1,5 +1,8 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
-from valuekit.llm import license
+from valuekit.llm import license, minhash
 
-ORACLE: dict[str, str] = {"op3_license": license.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op3_license": license.ORACLE_SQL,
+    "op8_minhash": minhash.ORACLE_SQL,
+}

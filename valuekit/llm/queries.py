@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from valuekit.llm.bpe import op5_bpe
 from valuekit.llm.license import op3_license
+from valuekit.llm.minhash import op8_minhash
 from valuekit.llm.quality import op7_quality
 from valuekit.llm.toxicity import op10_toxicity
 
@@ -11,5 +12,6 @@ QUERIES = {
     "op3_license": op3_license,
     "op5_bpe": op5_bpe,
     "op7_quality": op7_quality,
+    "op8_minhash": op8_minhash,
     "op10_toxicity": op10_toxicity,
 }
