@@ -182,7 +182,7 @@ WITH RECURSIVE words AS (
                                     '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 links AS (
   SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
