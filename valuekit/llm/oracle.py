@@ -1,8 +1,9 @@
 """DuckDB statements for the queries of this subpackage that SQL can express."""
 
-from valuekit.llm import license, minhash
+from valuekit.llm import license, minhash, substring
 
 ORACLE: dict[str, str] = {
     "op3_license": license.ORACLE_SQL,
+    "op6_substring": substring.ORACLE_SQL,
     "op8_minhash": minhash.ORACLE_SQL,
 }

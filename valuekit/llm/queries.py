@@ -6,11 +6,13 @@ from valuekit.llm.bpe import op5_bpe
 from valuekit.llm.license import op3_license
 from valuekit.llm.minhash import op8_minhash
 from valuekit.llm.quality import op7_quality
+from valuekit.llm.substring import op6_substring
 from valuekit.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op3_license": op3_license,
     "op5_bpe": op5_bpe,
+    "op6_substring": op6_substring,
     "op7_quality": op7_quality,
     "op8_minhash": op8_minhash,
     "op10_toxicity": op10_toxicity,
