@@ -1,11 +1,11 @@
 """Operator 2: improbable-feature digests of documents.
 
-A feature is a window of 64 bytes. Its entropy falls into one of 1,001 bins,
+A feature is a window of 32 bytes. Its entropy falls into one of 1,001 bins,
 and the rarer a bin is in the corpus (counted over every window of every
 document), the better the rank of its features; windows of very low entropy
-have no rank. In each run of 64 consecutive features the best one, the
-leftmost among equals, scores a point, and features with at least 16 points are
-selected. They go into a chain of Bloom filters of 2,048 bits, five bits a
+have no rank. In each run of 32 consecutive features the best one, the
+leftmost among equals, scores a point, and features with at least 8 points are
+selected; texts of fewer than 128 features take runs of 8 and 2 points. They go into a chain of Bloom filters of 2,048 bits, five bits a
 feature and at most 160 new features a filter.
 
 Likeness of two digests: bits that two filters share, less what chance makes
@@ -38,9 +38,9 @@ from valuekit.llm.substring import Powers, sliding_min
 
 ship(__name__)
 
-WINDOW = 64
-RUN = 64
-POINTS = 16
+WINDOW = 32
+#: (run length, least points) for texts with at least so many features.
+RUNS = {128: (32, 8), 1: (8, 2)}
 BINS = 1001
 LEAST_BIN = 100
 FILTER_BITS = 2048
@@ -138,22 +138,25 @@ def select(texts: list[bytes], rank: np.ndarray) -> list[np.ndarray]:
         rolled = np.concatenate([np.zeros(1, np.uint64), np.cumsum(t["byte"][x] * up[:len(x)], dtype=np.uint64)])
         order = rank[entropy_bins(x)]
         key = (order << 40) | np.arange(len(order))
-        points = np.zeros(len(x), np.int32)
-        if len(key) >= RUN:
-            best = sliding_min(key, RUN)
-            inside = np.zeros(len(x) + 1, np.int32)
-            many = ends - starts >= WINDOW + RUN - 1
-            np.add.at(inside, starts[many], 1)
-            np.add.at(inside, ends[many] - (WINDOW + RUN - 2), -1)
-            best = best[np.cumsum(inside)[:len(best)] > 0]
-            best = best[(best >> 40) < BINS] & ((1 << 40) - 1)
-            points = np.bincount(best, minlength=len(x))
+        points = {}
+        for run, least in RUNS.values():
+            points[run] = np.zeros(len(x), np.int32)
+            if len(key) >= run:
+                best = sliding_min(key, run)
+                inside = np.zeros(len(x) + 1, np.int32)
+                many = ends - starts >= WINDOW + run - 1
+                np.add.at(inside, starts[many], 1)
+                np.add.at(inside, ends[many] - (WINDOW + run - 2), -1)
+                best = best[np.cumsum(inside)[:len(best)] > 0]
+                points[run] = np.bincount(best[(best >> 40) < BINS] & ((1 << 40) - 1), minlength=len(x))
         for i, lo, hi in zip(long, starts, ends):
-            if hi - lo < WINDOW + RUN - 1:  # fewer features than a run: the best of them
-                at = lo + np.flatnonzero(key[lo:hi - WINDOW + 1] == key[lo:hi - WINDOW + 1].min())
+            last = hi - WINDOW + 1
+            run, least = next(v for n, v in RUNS.items() if last - lo >= n)
+            if last - lo < run:  # not even one run: the best feature, if it has a rank
+                at = np.array([lo + int(key[lo:last].argmin())])
                 at = at[order[at] < BINS]
             else:
-                at = lo + np.flatnonzero(points[lo:hi - WINDOW + 1] >= POINTS)
+                at = lo + np.flatnonzero(points[run][lo:last] >= least)
             h = mix((rolled[at + WINDOW] - rolled[at]) * down[at])
             _, where = np.unique(h, return_index=True)
             out[i] = h[np.sort(where)]
