@@ -152,7 +152,7 @@ def train(rows: DataFrame, features: Features) -> Model:
                                                      model.weight.astype(np.float32), model.factors.astype(np.float32)])]})
 
     made = rows.mapInArrow(extract, "h binary, d binary, y double")
-    got = made.groupBy(F.lit(0)).applyInPandas(solve, "model binary").collect()
+    got = made.groupBy(F.lit("all").alias("g")).applyInPandas(solve, "model binary").collect()
     if got:
         return Model(*pickle.loads(got[0].model))
     probe = features("", WordHashes())[1]
