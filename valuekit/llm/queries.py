@@ -6,6 +6,7 @@ from valuekit.llm.bpe import op5_bpe
 from valuekit.llm.fingerprint import op2_fingerprint
 from valuekit.llm.license import op3_license
 from valuekit.llm.minhash import op8_minhash
+from valuekit.llm.packing import op4_packing
 from valuekit.llm.quality import op7_quality
 from valuekit.llm.substring import op6_substring
 from valuekit.llm.toxicity import op10_toxicity
@@ -13,6 +14,7 @@ from valuekit.llm.toxicity import op10_toxicity
 QUERIES = {
     "op2_fingerprint": op2_fingerprint,
     "op3_license": op3_license,
+    "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,
     "op6_substring": op6_substring,
     "op7_quality": op7_quality,
