@@ -5,6 +5,7 @@ from __future__ import annotations
 from valuekit.llm.bpe import op5_bpe
 from valuekit.llm.fingerprint import op2_fingerprint
 from valuekit.llm.license import op3_license
+from valuekit.llm.lm import op9_lm
 from valuekit.llm.minhash import op8_minhash
 from valuekit.llm.packing import op4_packing
 from valuekit.llm.quality import op7_quality
@@ -19,5 +20,6 @@ QUERIES = {
     "op6_substring": op6_substring,
     "op7_quality": op7_quality,
     "op8_minhash": op8_minhash,
+    "op9_lm": op9_lm,
     "op10_toxicity": op10_toxicity,
 }
