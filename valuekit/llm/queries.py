@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from valuekit.llm.ann import op1_ann
 from valuekit.llm.bpe import op5_bpe
 from valuekit.llm.fingerprint import op2_fingerprint
 from valuekit.llm.license import op3_license
@@ -13,6 +14,7 @@ from valuekit.llm.substring import op6_substring
 from valuekit.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_fingerprint": op2_fingerprint,
     "op3_license": op3_license,
     "op4_packing": op4_packing,
