@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from valuekit.llm.common import WordHashes, kept_in_process, ship
 
@@ -160,20 +161,19 @@ def train(rows: DataFrame, features: Features) -> Model:
         np.zeros(0, np.uint64), np.zeros(len(probe)), np.ones(len(probe)), 0.0, np.zeros(len(probe)), np.zeros((len(probe), 1)))
 
 
-def apply(docs: DataFrame, model: Model, features: Features, threshold: float, *keep: str) -> DataFrame:
-    """``keep`` columns plus score and predicted (score >= threshold); one row
-    per input row, whole texts, null texts as empty."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [docs.schema[c] for c in keep]
+def apply(docs: DataFrame, model: Model, features: Features, threshold: float, *keep: str,
+          names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``keep`` columns plus, under ``names``, the score and whether it reaches
+    the threshold (1 or 0); one row per input row, whole texts, null texts as
+    empty."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
+    schema = StructType([*(docs.schema[c] for c in keep), StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
 
     def run(batches):
         words, model = kept_in_process(("fm words",), WordHashes), sent.value
         for batch in batches:
             scores = np.array([model.score(*features(t.as_py() or "", words)) for t in batch.column(0)], float)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i + 1) for i in range(len(keep))]
-                + [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
+                                             [*keep, *names])
 
-    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-    schema = StructType([*fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
-    return docs.select(F.col("text"), *keep).mapInArrow(run, schema)
+    return docs.select(F.col("text").alias("text to score"), *keep).mapInArrow(run, schema)

@@ -85,8 +85,8 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> fm.Model:
     return fm.train(fm.training_rows(docs, labels, "quality", ~held_out("doc_id", 5, 0)), word_features)
 
 
-def score_quality(docs: DataFrame, model: fm.Model, *keep: str) -> DataFrame:
-    return fm.apply(docs, model, word_features, THRESHOLD, *keep)
+def score_quality(docs: DataFrame, model: fm.Model, *keep: str, **names) -> DataFrame:
+    return fm.apply(docs, model, word_features, THRESHOLD, *keep, **names)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from valuekit.llm.common import WordHashes, kept_in_process, mix, read_table, ship, staged, text_or_empty, window_hashes
 
@@ -172,17 +173,23 @@ def repeated_spans(source: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataF
     return sure.union(compact).union(single)
 
 
-def remove_repeats(docs: DataFrame, k: int = WINDOW, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 of every row; with ``keep_text``
-    also kept_text."""
+CUT = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType()),
+                  StructField("kept_text", StringType())])
+
+
+def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
+    """The columns of ``docs`` and, as struct ``cut``: n_words, n_removed,
+    kept_sha256 and kept_text (the kept words joined by one space)."""
     source = _source(docs)
     spans = repeated_spans(source, k).groupBy("rid").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
     spans = staged(spans, "spans")
+    carried = docs.withColumn("rid of row", F.xxhash64(F.col("doc_id").cast("long"), text_or_empty()))
+    schema = StructType([*docs.schema.fields, StructField("cut", CUT)])
 
     def run(batches):
         for batch in batches:
             out = []
-            for doc_id, text, cuts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for text, cuts in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = text.as_py().encode("utf-8", "surrogatepass").split()
                 kept = words
                 if cuts:
@@ -192,13 +199,19 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, keep_text: bool = False) ->
                     np.add.at(edge, first + np.array([c["n"] for c in cuts]) + k - 1, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
                 joined = b" ".join(kept)
-                out.append((doc_id, len(words), len(words) - len(kept), sha256(joined).hexdigest(), joined.decode("utf-8", "surrogatepass") if keep_text else ""))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(
-                (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                out.append({"n_words": len(words), "n_removed": len(words) - len(kept), "kept_sha256": sha256(joined).hexdigest(),
+                            "kept_text": joined.decode("utf-8", "surrogatepass")})
+            kind = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(out, kind)], [f.name for f in schema])
+
+    return (carried.join(spans.withColumnRenamed("rid", "rid of row"), "rid of row", "left")
+            .select(text_or_empty().alias("text of row"), "spans", *docs.columns).mapInArrow(run, schema))
+
 
-    done = (source.join(spans, "rid", "left").select("doc_id", "text", "spans")
-            .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
-    return done if keep_text else done.drop("kept_text")
+def remove_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return cut_repeats(rows, k).select("doc_id", "cut.n_words", "cut.n_removed", "cut.kept_sha256")
 
 
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,8 +33,8 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> fm.Model:
     return fm.train(fm.training_rows(docs, labels, "toxic", ~held_out("doc_id", 3, 1)), term_features)
 
 
-def score_toxicity(docs: DataFrame, model: fm.Model, *keep: str) -> DataFrame:
-    return fm.apply(docs, model, term_features, THRESHOLD, *keep)
+def score_toxicity(docs: DataFrame, model: fm.Model, *keep: str, **names) -> DataFrame:
+    return fm.apply(docs, model, term_features, THRESHOLD, *keep, **names)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
