@@ -14,18 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_HANDLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table as a DataFrame; the handle (listing and footer
-    schema) is reused per session and path, like a catalog table."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _HANDLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
+    """The Parquet table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def cents(x):

@@ -26,12 +26,12 @@ def strip_cr(c: ColumnOrName) -> Column:
     return F.replace(col(c), F.lit("\r"), F.lit(""))
 
 
-CONTROL_AND_SPACE = "".join(chr(i) for i in range(33))
+CONTROL_AND_SPACE = "".join(chr(i) for i in (*range(33), 127))
 
 
 def text_to_integer(c: ColumnOrName, dtype: str = "bigint") -> Column:
     """Text -> integer with the non-ANSI cast rules the domain data was
-    produced under: characters up to the space are trimmed, an optional sign,
+    produced under: characters up to the space and U+007F are trimmed, an optional sign,
     then digits with an optional fraction that is truncated ('1200.0' -> 1200,
     '-7.5' -> -7, '.5' -> 0, '.' -> 0); anything else ('$1', '1,000', '1e6',
     '', a bare sign) and overflow give NULL. An ANSI ``cast`` would raise and
@@ -88,6 +88,11 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_text(value: str) -> str:
+    """A string literal for SQL text, with quotes and backslashes escaped."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def sql_num(x: float) -> str:
     """A double literal for SQL text (``0.12D``), so comparisons and products
     widen like a Column comparison with a Python float."""

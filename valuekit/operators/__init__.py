@@ -15,7 +15,7 @@ from valuekit.operators.clean import (  # noqa: F401
     win_share,
 )
 from valuekit.operators.dedupe import consolidate, prefer_tagged_rows  # noqa: F401
-from valuekit.operators.join import bounded_broadcast, normalize_to_cap, unify  # noqa: F401
+from valuekit.operators.join import normalize_to_cap, unify  # noqa: F401
 from valuekit.operators.lookup import filter_results, player_history, select_present, wasted_cap  # noqa: F401
 from valuekit.operators.metrics import (  # noqa: F401
     availability,

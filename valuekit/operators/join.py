@@ -1,18 +1,7 @@
-"""Joins: size-checked broadcast of dimension tables, cap normalisation
-and the six-table unification (D18).
+"""Joins: cap normalisation (D13) and the six-table unification.
 
-Broadcast policy: a side is broadcast only behind a check of its size.
-
-* A stored dimension table (one row per season, per season x team) goes
-  through :func:`bounded_broadcast`, which counts at most ``max_rows + 1`` rows
-  (for Parquet mostly footer metadata) and falls back to the plain, shuffled
-  join when the bound does not hold.
-* A dimension *derived* from a large table (an aggregate of orders, say) is
-  passed with ``max_rows=None``: counting it up front would compute the
-  aggregate twice. AQE checks it instead: the aggregate is materialised as a
-  query stage first and the join becomes a broadcast hash join only when that
-  stage is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-* Everything else (profiles, facts) is left to AQE the same way.
+No side is broadcast by hand and no job runs while a frame is built: AQE sees
+each side's bytes at run time and turns a small one into a broadcast hash join.
 """
 
 from __future__ import annotations
@@ -22,17 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIMENSION_ROW_LIMIT = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DIMENSION_ROW_LIMIT) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``;
-    ``max_rows=None`` leaves the decision to AQE at run time."""
-    if max_rows is None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def normalize_to_cap(
     df: DataFrame,
@@ -42,19 +20,18 @@ def normalize_to_cap(
     cap_col: str = "salary_cap",
     out: str = "salary_pct_of_cap",
     digits: int = 6,
-    max_cap_rows: int | None = DIMENSION_ROW_LIMIT,
 ) -> DataFrame:
     """D13 (J3): left-join the cap per key and add ``round(value / cap, digits)``
     where the cap is positive, NULL otherwise (missing cap included)."""
     keys = [on] if isinstance(on, str) else list(on)
-    caps = bounded_broadcast(cap_df.select(*keys, cap_col), max_cap_rows)
-    joined = df.join(caps, on=keys, how="left")
+    joined = df.join(cap_df.select(*keys, cap_col), on=keys, how="left")
     cap = F.col(cap_col)
     return joined.withColumn(
         out, F.when(cap.isNotNull() & (cap > 0), F.round(F.col(value_col) / cap, digits))
     )
 
 
+# The advanced statistics that the unified table takes, in order.
 ADVANCED_COLUMNS = (
     "per", "ts_pct", "fg3a_per_fga_pct", "fta_per_fga_pct", "orb_pct", "drb_pct", "trb_pct",
     "ast_pct", "stl_pct", "blk_pct", "tov_pct", "usg_pct", "ows", "dws", "ws", "ws_per_48",
@@ -76,32 +53,28 @@ def unify(
     advanced_columns: Sequence[str] = ADVANCED_COLUMNS,
     cap_col: str = "league_salary_cap",
     standings_columns: Sequence[str] = ("wins", "losses", "win_pct"),
-    max_dimension_rows: int | None = DIMENSION_ROW_LIMIT,
 ) -> DataFrame:
     """Five left joins onto the stats table, one row per stats row (more
     only where a right side repeats a key, as in the source).
 
-    Join order is chosen for the shuffle plan, not the source's order (left
-    joins onto the same driving table commute): the two joins on
-    (entity, period) run back to back so the second reuses the hash
-    partitioning of the first and adds no exchange on the wide side; the
-    cap and standings tables are bounded by periods x groups and are
-    broadcast behind a size check; profiles (one row per entity) go to AQE,
-    broadcast when small and a sort-merge join otherwise. Output columns are
-    projected in the source's order.
+    The two tables keyed by (entity, period) are narrow; a full outer join
+    brings them together first, so the wide stats rows are shuffled for that key
+    once, in a join whose hot partitions AQE can split (a second join on top of
+    the first one's partitioning could not be split). Stats rows with a NULL in
+    the key match nothing: they go round that join instead of meeting in one
+    partition. Output columns are projected in the source's order.
     """
     ek, pk = entity_key, period_key
     adv = advanced.select(ek, pk, *advanced_columns)
     sal = salaries.drop(period_year)
-    cap = bounded_broadcast(caps.select(pk, cap_col), max_dimension_rows)
-    std = bounded_broadcast(standings.select(period_year, group_key, *standings_columns), max_dimension_rows)
-
+    has_key = F.col(ek).isNotNull() & F.col(pk).isNotNull()
+    both = adv.filter(has_key).join(sal.filter(has_key), on=[ek, pk], how="full_outer")
+    wide = (stats.filter(has_key).join(both, on=[ek, pk], how="left")
+            .unionByName(stats.filter(~has_key), allowMissingColumns=True))
     joined = (
-        stats.join(adv, on=[ek, pk], how="left")
-        .join(sal, on=[ek, pk], how="left")
-        .join(profiles, on=ek, how="left")
-        .join(cap, on=pk, how="left")
-        .join(std, on=[period_year, group_key], how="left")
+        wide.join(profiles, on=ek, how="left")
+        .join(caps.select(pk, cap_col), on=pk, how="left")
+        .join(standings.select(period_year, group_key, *standings_columns), on=[period_year, group_key], how="left")
     )
     stats_rest = [c for c in stats.columns if c not in (period_year, group_key, pk, ek)]
     profile_rest = [c for c in profiles.columns if c != ek]

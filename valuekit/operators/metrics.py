@@ -41,19 +41,17 @@ def composite_value(df: DataFrame, share_col: str = "salary_pct_of_cap", floor:
     since ``greatest`` skips NULL) and their ratio."""
     return df.withColumns(
         {"production_score": production_expr(),
-         "salary_cap_share": F.expr(f"greatest({C.q(share_col)}, {C.sql_num(floor)})")}
-    ).withColumn("composite_value_score", F.expr("production_score / salary_cap_share"))
+         "salary_cap_share": F.greatest(F.col(share_col), F.lit(float(floor)))}
+    ).withColumn("composite_value_score", F.col("production_score") / F.col("salary_cap_share"))
 
 
 def games_possible_expr(season_col: str = "season", short_seasons: Mapping[str, int] = K.SHORT_SEASONS,
                         full: int = K.FULL_SEASON_GAMES):
     """D22 (first half): games on the schedule, by season label."""
-    if not short_seasons:
-        return F.lit(int(full))
-    s = C.q(season_col)
-    whens = " ".join(f"WHEN {s} = '{str(season).replace(chr(39), chr(39) * 2)}' THEN {int(g)}"
-                     for season, g in short_seasons.items())
-    return F.expr(f"CASE {whens} ELSE {int(full)} END")
+    games = F.lit(int(full))
+    for season, n in short_seasons.items():
+        games = F.when(F.col(season_col) == F.lit(str(season)), F.lit(int(n))).otherwise(games)
+    return games
 
 
 def availability(df: DataFrame, season_col: str = "season", games: str = "games",
@@ -62,10 +60,10 @@ def availability(df: DataFrame, season_col: str = "season", games: str = "games"
     """Games possible, capped availability rate, availability-adjusted
     CVS (needs :func:`composite_value` first) and missed-game cost."""
     df = df.withColumn("games_possible", games_possible_expr(season_col, short_seasons, full))
-    df = df.withColumn("availability_rate", F.expr(f"least({C.q(games)} / games_possible, 1.0D)"))
-    cols = {"missed_game_cost": F.expr(f"{C.q(salary)} * (1.0D - availability_rate)")}
+    df = df.withColumn("availability_rate", F.least(F.col(games) / F.col("games_possible"), F.lit(1.0)))
+    cols = {"missed_game_cost": F.col(salary) * (F.lit(1.0) - F.col("availability_rate"))}
     if "composite_value_score" in df.columns:
-        cols = {"availability_adj_cvs": F.expr("composite_value_score * availability_rate"), **cols}
+        cols = {"availability_adj_cvs": F.col("composite_value_score") * F.col("availability_rate"), **cols}
     return df.withColumns(cols)
 
 

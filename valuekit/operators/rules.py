@@ -22,6 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from valuekit.functions.columns import sql_text
+
 
 
 @dataclass
@@ -94,7 +96,7 @@ def sum_at_least(a: str, b: str, t: float) -> str:
 
 
 def one_of(c: str, values: Sequence[str]) -> str:
-    return f"({_q(c)} IN (" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "))"
+    return f"({_q(c)} IN (" + ", ".join(sql_text(v) for v in values) + "))"
 
 
 def archetype_rules(

@@ -44,36 +44,19 @@ def run_unify(spark: SparkSession, input_dir: str, output_path: str) -> int:
     return write_counted(unify_cleaned(tables), output_path)
 
 
-CVS_COLUMNS = (
-    "player_id", "name", "season", "season_start_year", "team_name_abbr", "pos", "age", "height", "weight",
-    "country", "college", "draft_year", "draft_round", "draft_pick", "is_drafted", "games", "games_started",
-    "mp", "games_possible", "availability_rate", "pts_per_game", "trb_per_game", "ast_per_game",
-    "stl_per_game", "blk_per_game", "tov_per_game", "per", "ts_pct", "ws", "ows", "dws", "ws_per_48", "bpm",
-    "obpm", "dbpm", "vorp", "usg_pct", "player_salary", "salary_cap", "salary_pct_of_cap", "salary_cap_share",
-    "is_two_way", "is_sub_minimum", "wins", "losses", "win_pct", "production_score", "composite_value_score",
-    "availability_adj_cvs", "missed_game_cost",
-)
-
-
-def composite_value_table(unified: DataFrame, min_games: int = 20, min_minutes: int = 200,
-                          short_seasons=K.SHORT_SEASONS) -> DataFrame:
-    """D25 without the I/O: qualify, CVS, availability, output projection."""
+def composite_value_rows(unified: DataFrame, min_games: int = 20, min_minutes: int = 200,
+                         short_seasons=K.SHORT_SEASONS) -> DataFrame:
+    """D25 up to the projection: qualify, CVS, availability."""
     df = M.qualify_for_scoring(unified, min_games=min_games, min_minutes=min_minutes)
     df = df.withColumns({"player_salary": F.col("player_salary").cast("double"),
                          "salary_pct_of_cap": F.col("salary_pct_of_cap").cast("double")})
     df = M.composite_value(df)
-    df = M.availability(df, short_seasons=short_seasons)
-    return L.select_present(df, CVS_COLUMNS)
+    return M.availability(df, short_seasons=short_seasons)
 
 
-PLAYER_ARCHETYPE_COLUMNS = (
-    "player_id", "name", "season", "season_start_year", "team_name_abbr", "pos", "archetype", "age", "games",
-    "mp", "pts_per_game", "ast_per_game", "trb_per_game", "stl_per_game", "blk_per_game", "tov_per_game",
-    "pts_per36", "ast_per36", "trb_per36", "ts_pct", "usg_pct", "ws", "ws_per_48", "vorp", "bpm", "per",
-    "player_salary", "salary_millions", "salary_pct_of_cap", "cost_per_ws", "cost_per_available_ws",
-    "value_score", "composite_index", "availability", "wins", "losses", "win_pct", "all_nba_appearances",
-    "height", "weight", "country", "is_drafted",
-)
+def composite_value_table(unified: DataFrame, **kw) -> DataFrame:
+    """D25 without the I/O; a missing output column is an error that names it."""
+    return composite_value_rows(unified, **kw).select(*K.CVS_COLUMNS)
 
 
 def player_metrics(unified: DataFrame, min_games: int = 20) -> DataFrame:
@@ -85,7 +68,7 @@ def player_metrics(unified: DataFrame, min_games: int = 20) -> DataFrame:
 
 
 def player_archetype_table(unified: DataFrame, min_games: int = 20) -> DataFrame:
-    return L.select_present(player_metrics(unified, min_games), PLAYER_ARCHETYPE_COLUMNS)
+    return player_metrics(unified, min_games).select(*K.PLAYER_ARCHETYPE_COLUMNS)
 
 
 def run_composite(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> int:
@@ -97,10 +80,10 @@ def run_archetypes(spark: SparkSession, input_path: str, output_path: str, repor
     """Write the labelled player table (partitioned by season start
     year), read it back once, then the rollup and top-k tables."""
     out = output_path.rstrip("/")
-    metrics = player_metrics(spark.read.parquet(input_path))
-    n_players = write_counted(L.select_present(metrics, PLAYER_ARCHETYPE_COLUMNS),
+    n_players = write_counted(player_archetype_table(spark.read.parquet(input_path)),
                               f"{out}/player_archetype_metrics", partition_by=["season_start_year"])
-    players = spark.read.parquet(f"{out}/player_archetype_metrics")
+    # a partition column comes back last: restore the table's own order
+    players = spark.read.parquet(f"{out}/player_archetype_metrics").select(*K.PLAYER_ARCHETYPE_COLUMNS)
     # The rollup needs ``salary_millions`` and the averaged inputs: all are in the written table.
     rollup = R.archetype_season_rollup(players)
     files.write_parquet(rollup, f"{out}/archetype_season_summary")
@@ -114,19 +97,12 @@ def run_archetypes(spark: SparkSession, input_path: str, output_path: str, repor
     }
 
 
-TIER_COLUMNS = (
-    "player_id", "name", "season", "season_start_year", "team_name_abbr", "pos", "age", "games", "mp", "bpm",
-    "ws_per_48", "ts_pct", "usg_pct", "salary_pct_of_cap", "salary_group", "avg_bpm", "avg_ws_per_48",
-    "avg_ts_pct", "avg_usg_pct", "bpm_diff", "ws_per_48_diff", "ts_pct_diff", "usg_pct_diff", "value_score",
-)
-
-
 def tier_value_table(unified: DataFrame, min_games: int = 20, min_minutes: int = 200) -> DataFrame:
     """D44 without the I/O."""
     df = M.qualify_for_scoring(unified, min_games=min_games, min_minutes=min_minutes)
     df = df.withColumns({"player_salary": F.col("player_salary").cast("double"),
                          "salary_pct_of_cap": F.col("salary_pct_of_cap").cast("double")})
-    return L.select_present(tier_value_score(df), TIER_COLUMNS)
+    return L.select_present(tier_value_score(df), K.TIER_COLUMNS)
 
 
 def run_tiers(spark: SparkSession, input_path: str, output_path: str, n_files: int | None = None) -> int:

@@ -8,12 +8,11 @@ submitter did not pass explicitly:
 * turns AQE on with partition coalescing and skew-join splitting;
 * sets the advisory shuffle partition size (what AQE coalesces towards and
   what a ``rebalance`` write aims for) to ``target_mb``;
-* sets ``spark.sql.shuffle.partitions`` to input bytes / ``target_mb``,
-  clamped to [``min_partitions``, ``max_partitions``]. AQE then coalesces
-  small partitions down, so a generous initial number only costs metadata,
-  while a too-small one would make every reducer spill;
-* caps ``spark.sql.files.maxPartitionBytes`` at ``target_mb`` so one scan task
-  never reads more than one target partition.
+* sets ``spark.sql.shuffle.partitions`` to input bytes / ``target_mb``, and at
+  least to the cores there are. These are bytes at rest; rows in a shuffle can
+  be larger or smaller, so the number is a start that AQE coalesces from;
+* sets ``spark.sql.files.maxPartitionBytes`` to ``target_mb`` (Spark's default
+  is 128 MB), so one scan task reads about one target partition.
 """
 
 from __future__ import annotations
@@ -36,8 +35,7 @@ def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     return int(total)
 
 
-def size_shuffles(spark: SparkSession, paths: Sequence[str], target_mb: int = 256, min_partitions: int = 200,
-                  max_partitions: int = 100_000) -> dict:
+def size_shuffles(spark: SparkSession, paths: Sequence[str], target_mb: int = 256) -> dict:
     """Apply the settings above where the submitter left them unset; returns
     what was set."""
     explicit = spark.sparkContext.getConf()
@@ -50,7 +48,7 @@ def size_shuffles(spark: SparkSession, paths: Sequence[str], target_mb: int = 25
 
     n_bytes = input_bytes(spark, paths)
     target = target_mb * 1024 * 1024
-    parts = max(min_partitions, min(max_partitions, -(-n_bytes // target)))
+    parts = max(spark.sparkContext.defaultParallelism, -(-n_bytes // target))
     put("spark.sql.adaptive.enabled", "true")
     put("spark.sql.adaptive.coalescePartitions.enabled", "true")
     put("spark.sql.adaptive.skewJoin.enabled", "true")

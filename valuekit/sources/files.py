@@ -59,9 +59,14 @@ def read_parquet_tables(spark: SparkSession, input_dir: str, names: Sequence[str
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
                   n_files: int | None = None, max_records_per_file: int | None = None,
                   rebalance: bool = True) -> None:
-    """Parquet write; optional Hive-style partitioning and file bounds."""
+    """Parquet write; optional Hive-style partitioning and file bounds.
+    A number of files is a bound on the whole table, so it cannot be combined
+    with partitioning, where each value needs a file of its own at least; bound
+    the files' size there."""
+    if n_files is not None and partition_by:
+        raise ValueError("n_files bounds an unpartitioned write; use max_records_per_file with partition_by")
     if n_files is not None:
-        df = df.repartition(n_files, *partition_by) if partition_by else df.repartition(n_files)
+        df = df.repartition(n_files)
     elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
@@ -80,10 +85,10 @@ def write_parquet_counted(df: DataFrame, path: str, name: str = "rows_written",
     schema (an empty partitioned write leaves no file to infer it from)."""
     obs = Observation(name)
     write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
-    try:
-        return int(obs.get["rows"])
-    except Exception:  # noqa: BLE001 - metrics missing because the empty plan was pruned
+    rows = obs.get.get("rows")
+    if rows is None:  # the empty plan took the observation with it
         return df.sparkSession.read.schema(df.schema).parquet(path).count()
+    return int(rows)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
