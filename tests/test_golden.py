@@ -327,3 +327,35 @@ def test_tiers_with_a_finite_last_split(spark):
     assert [r.t for r in assign_tiers(df, "s", "t", splits).orderBy("s").collect()] == [0.0, 0.0, 1.0, 1.0]
     with pytest.raises(Exception):
         assign_tiers(spark.createDataFrame([(1.01,)], "s double"), "s", "t", splits).collect()
+
+
+def test_kept_rows_equal_what_the_operator_keeps(spark):
+    from valuekit.operators import quality as Q
+    from valuekit.operators.dedupe import prefer_tagged_rows
+    rows = [(1, "a", "2TM"), (1, "a", "X"), (1, "b", "X"), (None, "a", "2TM"), (None, "a", "X"), (2, "a", None), (2, "a", "X"), (3, "c", None)]
+    df = spark.createDataFrame(rows, "k1 int, k2 string, t string")
+    got = {r.item: r.value for r in Q.key_profile(df, ["k1", "k2"], "x", tag_col="t", tags=["2TM"]).collect()}
+    assert got["kept_rows"] == prefer_tagged_rows(df, ["k1", "k2"], "t", ["2TM"]).count()
+
+
+def test_file_number_with_partitions_is_refused(spark, tmp_out):
+    from valuekit.sources import files
+    df = spark.range(3).withColumn("p", F.col("id"))
+    with pytest.raises(ValueError):
+        files.write_parquet(df, f"{tmp_out}/x", partition_by=["p"], n_files=4)
+
+
+def test_strict_projection_names_the_missing_column(spark):
+    from valuekit.plans import analysis
+    df = spark.createDataFrame([("p", 30, 300, 5.0, "N1", "S", 0.1, *[1.0] * 6)],
+                               "player_id string, games int, mp int, player_salary double, team_name_abbr string, season string, "
+                               "salary_pct_of_cap double, pts_per_game double, trb_per_game double, ast_per_game double, "
+                               "stl_per_game double, blk_per_game double, tov_per_game double")
+    with pytest.raises(Exception, match="name"):
+        analysis.composite_value_table(df)
+
+
+def test_quoted_values_in_rules(spark):
+    from valuekit.operators.rules import one_of
+    df = spark.createDataFrame([("a\\b",), ("it's",), ("x",)], "p string")
+    assert [r[0] for r in df.select(F.expr(one_of("p", ("a\\b", "it's")))).collect()] == [True, True, False]

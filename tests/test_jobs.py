@@ -28,7 +28,10 @@ def test_key_check_report(spark, built):
     checks = {(r.table_name, r.item): r.value for r in spark.read.parquet(f"{out}/clean/_reports/key_checks").collect()}
     assert checks[("nba_stats", "duplicate_rows")] == 0 and checks[("nba_stats", "null_player_id")] == 0
     assert checks[("player_profiles", "total_rows")] == 3
-    assert checks[("nba_expanded_standings_2000_2026", "duplicate_rows")] == 2  # several teams per season
+    assert checks[("nba_expanded_standings_2000_2026", "duplicate_rows")] == 0  # one row per season and team
+    status = {(r.table_name, r.item): r.status for r in spark.read.parquet(f"{out}/clean/_reports/key_checks").collect()}
+    assert status[("nba_expanded_standings_2000_2026", "null_team_name_abbr")] == "WARN"  # the unknown team
+    assert status[("nba_stats", "null_player_id")] == "OK"
 
 
 def test_run_all(spark, tmp_out):
@@ -41,7 +44,8 @@ def test_cleaning_report(built):
     _, rep, _ = built
     assert (rep["player_profiles"].raw_rows, rep["player_profiles"].clean_rows) == (4, 3)
     assert (rep["nba_stats"].raw_rows, rep["nba_stats"].clean_rows) == (7, 4)
-    assert rep["nba_salaries"].clean_rows == 4
+    assert rep["nba_salaries"].clean_rows == 4 and rep["nba_salaries"].unparsed_rows >= 1
+    assert rep["nba_stats"].unparsed_rows is None
     assert rep["nba_expanded_standings_2000_2026"].clean_rows == 4
 
 

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from valuekit.catalog.queries import QUERIES
 from tools.oracle_check import compare, duck, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = E.oracle_sql()
     assert name in sql, "every catalogue query has an oracle statement"

@@ -103,6 +103,8 @@ def test_tiers_match_ml_bucketizer(spark, xs):
 @SETTINGS
 @given(st.lists(st.one_of(
     st.from_regex(r"\A[ \t]?[+-]?[0-9]{0,12}(\.[0-9]{0,3})?[ \t]?\Z", fullmatch=True),
+    st.builds(lambda a, n, b: f"{a}{n}{b}", st.sampled_from([chr(i) for i in (*range(1, 33), 127, 128, 133, 160)]), st.integers(-99, 99),
+              st.sampled_from(["", *[chr(i) for i in (*range(1, 33), 127, 133, 160)]])),
     st.sampled_from(["$1", "1,000", "1e6", "", " ", ".", "-", "+", "12a", "99999999999999999999", "-.5", "1.",
                      "\t42\n", "N/A", "0x10"])), min_size=1, max_size=40))
 def test_text_to_integer_matches_non_ansi_cast(spark, texts):

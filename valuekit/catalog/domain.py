@@ -250,7 +250,7 @@ def q41_player_history(spark: SparkSession, d: str) -> DataFrame:
     return L.player_history(q36_composite_table(spark, d), HISTORY_PLAYER).select("player_id", "season", "composite_value_score")
 
 
-HISTORY_PLAYER = "p1"
+HISTORY_PLAYER = "p14"
 
 QUERIES = {f.__name__: f for f in (
     q12_unify, q29_clean_profiles, q30_clean_stats, q31_clean_salaries, q32_clean_advanced, q33_clean_standings, q34_clean_caps,

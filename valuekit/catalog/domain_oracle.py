@@ -245,5 +245,5 @@ SELECT * FROM (
   SELECT {PLAYER_LIST}, CAST(rank() OVER (PARTITION BY season, archetype ORDER BY value_score DESC NULLS LAST) AS INT) AS archetype_rank
   FROM players) WHERE archetype_rank <= 5""",
     "q40_tier_table": TIERED + "\nSELECT " + ", ".join(f"round({x}, 6) AS {x}" if x in ROUNDED else x for x in K.TIER_COLUMNS) + " FROM tiers",
-    "q41_player_history": SCORED + "\nSELECT player_id, season, composite_value_score FROM valued WHERE player_id = 'p1' OR name = 'p1'",
+    "q41_player_history": SCORED + "\nSELECT player_id, season, composite_value_score FROM valued WHERE player_id = 'p14' OR name = 'p14'",
 }

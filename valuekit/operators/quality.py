@@ -68,22 +68,39 @@ def duplicate_key_report(df: DataFrame, keys: Sequence[str], table: str) -> Data
     )
 
 
-def key_profile(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
+def key_profile(df: DataFrame, keys: Sequence[str], table: str, tag_col: str | None = None,
+                tags: Sequence[str] = ()) -> DataFrame:
     """D15 + D16 + A8 + A9 in one pass: from one partially aggregated
-    ``groupBy(keys).count()`` derive total rows, distinct keys, surplus rows,
-    keys occurring more than once and the NULL count of every key column, as
-    a long table (table_name, item, value)."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
+    ``groupBy(keys)`` derive total rows, distinct keys, surplus rows, keys
+    occurring more than once and the NULL count of every key column, as a long
+    table (table_name, item, value, status): WARN where a key is NULL or repeated.
+
+    With ``tag_col`` also ``kept_rows``, the rows that
+    :func:`valuekit.operators.dedupe.prefer_tagged_rows` keeps: a key's tagged
+    rows if it has any, else its others; rows with a NULL key are never matched,
+    rows with a NULL tag never kept."""
+    counts = [F.count(F.lit(1)).alias("c")]
+    if tag_col:
+        tagged = F.col(tag_col).isin(list(tags))
+        counts += [F.count_if(tagged).alias("t"), F.count_if(~tagged).alias("u")]
+    per_key = df.groupBy(*keys).agg(*counts)
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    kept = [F.sum(F.when(whole & (F.col("t") > 0), F.col("t")).otherwise(F.col("t") + F.col("u"))).cast("bigint").alias("kept_rows")] if tag_col else []
     wide = per_key.agg(
-        F.sum("c").cast("bigint").alias("total_rows"),
+        F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_keys"),
-        F.count_if(F.col("c") > 1).alias("keys_with_duplicates"),
+        F.count_if(F.col("c") > 1).alias("keys_with_duplicates"), *kept,
         *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("c"))), F.lit(0)).cast("bigint").alias(f"null_{k}")
           for k in keys],
     ).withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_keys"))
-    items = ["total_rows", "distinct_keys", "duplicate_rows", "keys_with_duplicates", *[f"null_{k}" for k in keys]]
+    items = ["total_rows", "distinct_keys", "duplicate_rows", "keys_with_duplicates", *(["kept_rows"] if tag_col else []),
+             *[f"null_{k}" for k in keys]]
+    bad = (F.col("item").startswith("null_") | F.col("item").isin("duplicate_rows", "keys_with_duplicates")) & (F.col("value") > 0)
     return wide.unpivot([], items, "item", "value").select(
-        F.lit(table).alias("table_name"), "item", F.col("value").cast("bigint").alias("value"))
+        F.lit(table).alias("table_name"), "item", F.col("value").cast("bigint").alias("value"),
+        F.when(bad, F.lit("WARN")).otherwise(F.lit("OK")).alias("status"))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

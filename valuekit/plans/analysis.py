@@ -90,11 +90,10 @@ def run_archetypes(spark: SparkSession, input_path: str, output_path: str, repor
     top = R.top_k_per_group(players, ["season", "archetype"], "value_score", k=top_k, rank_col="archetype_rank")
     files.write_parquet(top, f"{out}/archetype_top_players")
     summary = spark.read.parquet(f"{out}/archetype_season_summary")
-    return {
-        "qualified_rows": n_players,
-        "distribution": R.label_distribution(players),
-        "season_report": R.season_report(summary, report_season),
-    }
+    reports = {"distribution": R.label_distribution(players), "season_report": R.season_report(summary, report_season)}
+    for name, df in reports.items():  # a few rows each
+        files.write_parquet(df, f"{out}/_reports/{name}", n_files=1)
+    return {"qualified_rows": n_players, **reports}
 
 
 def tier_value_table(unified: DataFrame, min_games: int = 20, min_minutes: int = 200) -> DataFrame:

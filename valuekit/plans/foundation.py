@@ -2,21 +2,20 @@
 
 Each cleaner is a configuration of generic operators. Plan of the job:
 
-* every raw CSV is parsed exactly once: it is staged as Parquet (carriage
-  returns already stripped) in the shared checkpoint folder, and its raw row
-  count is an ``Observation`` on that write. The cleaners then read columnar,
-  pruned, filter-pushed Parquet; the prefer-aggregate step reads its input
-  more than once, which would otherwise mean re-parsing CSV. The staged table
-  also cuts the lineage, so a lost executor recomputes from Parquet;
+* tables that a cleaner reads more than once (both stats tables, the caps) are
+  parsed once into Parquet in the shared checkpoint folder, which is deleted
+  when the job ends, also on failure; the others are read straight from CSV.
+  Raw rows are counted by an ``Observation`` on the way;
 * each cleaned table is written once, its row count observed on that write
-  (no cache, no recount);
+  (no cache, no recount), as is the number of salary rows without an amount;
 * the key checks (NULL and duplicate keys, one aggregation per table) read
-  back only the key columns of the written Parquet.
+  back only the key columns of the written Parquet, before anything joins them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from valuekit import schemas as K
 from valuekit.operators import clean as CL
@@ -94,14 +93,15 @@ def normalize_salary_to_cap(salaries: DataFrame, caps: DataFrame) -> DataFrame:
                             out="salary_pct_of_cap", digits=6)
 
 
-def clean_all(raw: dict, salt_buckets: int = 1) -> dict:
+def clean_all(raw: dict, salt_buckets: int = 1, salary_observation: Observation | None = None) -> dict:
     """The six cleaned tables from the six raw ones (lazy); ``salt_buckets``
-    spreads hot (player, season) keys of the prefer-aggregate step."""
+    spreads hot (player, season) keys of the prefer-aggregate step, and
+    ``salary_observation`` counts the salary rows dropped for want of an amount."""
     caps = clean_salary_cap(raw["nba_salary_cap"])
     return {
         "player_profiles": clean_player_profiles(raw["player_profiles"]),
         "nba_stats": clean_nba_stats(raw["nba_stats"], salt_buckets=salt_buckets),
-        "nba_salaries": normalize_salary_to_cap(clean_nba_salaries(raw["nba_salaries"]), caps),
+        "nba_salaries": normalize_salary_to_cap(clean_nba_salaries(raw["nba_salaries"], salary_observation), caps),
         "nba_salary_cap": caps,
         "nba_advanced_player_stats": clean_advanced_stats(raw["nba_advanced_player_stats"], salt_buckets=salt_buckets),
         "nba_expanded_standings_2000_2026": clean_expanded_standings(raw["nba_expanded_standings_2000_2026"]),
@@ -114,9 +114,12 @@ KEY_COLUMNS = {
     "nba_salaries": ["player_id", "season"],
     "nba_salary_cap": ["season"],
     "nba_advanced_player_stats": ["player_id", "season"],
-    "nba_expanded_standings_2000_2026": ["season"],
+    "nba_expanded_standings_2000_2026": ["season_start_year", "team_name_abbr"],  # the key unify joins on
 }
 
+#: Read more than once by the cleaners.
+STAGED = ("nba_stats", "nba_advanced_player_stats", "nba_salary_cap")
+
 
 def run_concurrently(tasks: dict, max_workers: int = 6) -> dict:
     """Run independent Spark jobs from driver threads: the scheduler fills
@@ -128,34 +131,41 @@ def run_concurrently(tasks: dict, max_workers: int = 6) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def stage_raw(spark: SparkSession, raw: dict) -> tuple[dict, dict]:
-    """Parse each raw CSV once into Parquet under the shared checkpoint
-    folder (``\\r`` stripped on the way); returns the staged tables and their
-    raw row counts, observed during the same write. Tables are staged
-    concurrently."""
-    paths = {name: scratch_path(spark, f"staged_{name}") for name in raw}
+def stage_raw(spark: SparkSession, raw: dict, names=STAGED) -> tuple[dict, dict, list[str]]:
+    """Parse the named raw tables once into Parquet under the shared checkpoint
+    folder, concurrently; returns the tables, their row counts and the paths,
+    which the caller deletes."""
+    paths = {name: scratch_path(spark, f"staged_{name}") for name in names}
     counts = run_concurrently({
-        name: (lambda n=name, df=df: files.write_parquet_counted(CL.strip_carriage_returns(df), paths[n],
-                                                                 name=f"raw_{n}"))
-        for name, df in raw.items()})
-    staged = {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in raw.items()}
-    return staged, counts
+        name: (lambda n=name: files.write_parquet_counted(raw[n], paths[n], name=f"raw_{n}")) for name in names})
+    return {name: spark.read.schema(raw[name].schema).parquet(paths[name]) for name in names}, counts, list(paths.values())
 
 
 def run_foundation(spark: SparkSession, input_dir: str, output_dir: str, salt_buckets: int = 1) -> DataFrame:
-    """Stage, clean, write; returns the cleaning report (the key checks
-    are written next to it)."""
-    staged, raw_counts = stage_raw(spark, files.load_csv_tables(spark, input_dir, K.RAW_TABLES))
-    cleaned = clean_all(staged, salt_buckets=salt_buckets)
+    """Clean and write; returns the cleaning report. ``unparsed_rows`` are
+    the rows dropped because their salary text holds no amount. The key checks
+    are written next to it, each with OK or WARN."""
+    raw = files.load_csv_tables(spark, input_dir, K.RAW_TABLES)
     out = output_dir.rstrip("/")
-    clean_counts = run_concurrently({
-        name: (lambda n=name, df=df: files.write_parquet_counted(df, f"{out}/{n}", name=f"clean_{n}"))
-        for name, df in cleaned.items()})
+    seen = {name: Observation(f"raw_{name}") for name in raw if name not in STAGED}
+    unparsed = Observation("unparsed_salaries")
+    staged, raw_counts, scratch = stage_raw(spark, raw)
+    try:
+        inputs = {name: staged.get(name) if name in staged else df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
+                  for name, df in raw.items()}
+        cleaned = clean_all(inputs, salt_buckets=salt_buckets, salary_observation=unparsed)
+        clean_counts = run_concurrently({
+            name: (lambda n=name, df=df: files.write_parquet_counted(df, f"{out}/{n}", name=f"clean_{n}"))
+            for name, df in cleaned.items()})
+        for name, observation in seen.items():
+            raw_counts[name] = files.observed(observation, "rows", raw[name].count)
+        dropped = files.observed(unparsed, "dropped_salary", lambda: 0)
+    finally:
+        files.delete(spark, scratch)
     report = spark.createDataFrame(
-        [(n, raw_counts[n], clean_counts[n], raw_counts[n] - clean_counts[n]) for n in cleaned],
-        "table_name string, raw_rows bigint, clean_rows bigint, dropped_rows bigint")
-    # D15 + D16 from one aggregation per table (the join keys' NULLs and
-    # duplicates, which would fan out the unify joins), reading key columns only
+        [(n, raw_counts[n], clean_counts[n], raw_counts[n] - clean_counts[n], dropped if n == "nba_salaries" else None)
+         for n in cleaned],
+        "table_name string, raw_rows bigint, clean_rows bigint, dropped_rows bigint, unparsed_rows bigint")
     checks = None
     for name, keys in KEY_COLUMNS.items():
         r = Q.key_profile(spark.read.parquet(f"{out}/{name}").select(*keys), keys, name)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -85,10 +86,27 @@ def write_parquet_counted(df: DataFrame, path: str, name: str = "rows_written",
     schema (an empty partitioned write leaves no file to infer it from)."""
     obs = Observation(name)
     write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
-    rows = obs.get.get("rows")
-    if rows is None:  # the empty plan took the observation with it
-        return df.sparkSession.read.schema(df.schema).parquet(path).count()
-    return int(rows)
+    return observed(obs, "rows", lambda: df.sparkSession.read.schema(df.schema).parquet(path).count())
+
+
+def observed(observation: Observation, name: str, otherwise) -> int:
+    """A count of an observation whose job has run; ``otherwise()`` where the
+    optimiser dropped the observation together with an empty plan."""
+    try:
+        value = observation.get.get(name)
+    except Py4JJavaError as e:
+        if "toPyRow" not in str(e):  # a row without fields is what such a plan leaves
+            raise
+        value = None
+    return int(otherwise() if value is None else value)
+
+
+def delete(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove scratch folders, wherever they are stored."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
