@@ -6,7 +6,10 @@
   (first-max scorer from the tests);
 * tier value score: one pooled aggregate + broadcast vs the pyspark.ml route
   (Bucketizer, group means joined back, VectorAssembler, StandardScaler.fit);
-* prefer-aggregate: anti-join on the tagged keys vs a window over the key.
+* prefer-aggregate: anti-join on the tagged keys vs the source's distinct keys,
+  anti-join and union;
+* unify: one wide join on the full-outer-joined right sides vs the source's five
+  left joins in a row, on the composite queries' cleaned tables.
 
 Each variant is materialised with the ``noop`` sink; best of three runs.
 Prints one JSON line.
@@ -23,7 +26,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")  # for the UDF's Python workers
 
-from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from valuekit import schemas as K  # noqa: E402
@@ -97,11 +99,28 @@ def main():
     base = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
     res["prefer_anti_join"] = best_of(prefer_tagged_rows(base, keys, "l_returnflag", ["A"]))
     tag = F.col("l_returnflag").isin("A")
-    w = Window.partitionBy(*keys)
-    win = (base.filter(tag.isNotNull()).withColumn("_has", F.max(tag.cast("int")).over(w))
-           .filter(tag | ((F.col("_has") == 0) | F.col("l_orderkey").isNull() | F.col("l_linenumber").isNull()))
-           .drop("_has"))
-    res["prefer_window"] = best_of(win)
+    with_tag, without = base.filter(tag), base.filter(~tag)  # the source: distinct keys, anti-join, union
+    source = with_tag.unionByName(without.join(with_tag.select(*keys).distinct(), keys, "left_anti"))
+    res["prefer_source_shape"] = best_of(source)
+
+    from valuekit.catalog import domain
+    from valuekit.operators.join import ADVANCED_COLUMNS
+    from valuekit.plans.analysis import unify_cleaned
+    from valuekit.session import scratch_path
+    clean = {}
+    for name, df in domain.cleaned(spark, sf_dir).items():
+        path = scratch_path(spark, f"plan_{name}")
+        df.write.parquet(path)
+        clean[name] = spark.read.parquet(path)
+    res["unify_one_wide_join"] = best_of(unify_cleaned(clean))
+    both = ["player_id", "season"]
+    sal = clean["nba_salaries"].withColumnRenamed("salary", "player_salary").drop("season_start_year")
+    five = (clean["nba_stats"].join(clean["nba_advanced_player_stats"].select(*both, *ADVANCED_COLUMNS), both, "left")
+            .join(clean["player_profiles"], "player_id", "left").join(sal, both, "left")
+            .join(clean["nba_salary_cap"].select("season", F.col("salary_cap").alias("league_salary_cap")), "season", "left")
+            .join(clean["nba_expanded_standings_2000_2026"].select("season_start_year", "team_name_abbr", "wins", "losses", "win_pct"),
+                  ["season_start_year", "team_name_abbr"], "left"))
+    res["unify_source_shape"] = best_of(five)
     print(json.dumps({"sf": os.path.basename(sf_dir), "seconds": res}))
     spark.stop()
 

@@ -3,9 +3,9 @@
 The test tables hold no basketball data, so the catalogue maps them onto the
 domain's shapes (FIXTURES.md section 3): supplier x ship-year becomes a
 "player-season" row with integer counting stats and FloatType advanced stats.
-Each shape exists twice, as a DataFrame builder (what the query runs) and as
-DuckDB SQL text (what the oracle runs); both use integer arithmetic so the two
-engines agree bit for bit.
+Each shape exists twice, written separately: as a DataFrame (what the query
+runs) and as DuckDB SQL text (what the oracle runs); both use integer
+arithmetic so the two engines agree bit for bit.
 """
 
 from __future__ import annotations
@@ -28,25 +28,38 @@ def cents(x):
 
 def supplier_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ss``: one row per (supplier, ship year) with the stats of its line
-    items. One ``spark.sql`` statement over the two tables (the FIXTURES.md
-    text with integer rounding), so building it costs one call."""
-    return spark.sql("WITH " + SS_SPARK_SQL + " SELECT * FROM ss",
-                     lineitem=table(spark, sf_dir, "lineitem"), supplier=table(spark, sf_dir, "supplier"))
+    items."""
+    c = F.col
+    flag = lambda col, value: F.count_if(c(col) == value).cast("int")
+    lines = table(spark, sf_dir, "lineitem").groupBy(c("l_suppkey").alias("player_id"), F.year("l_shipdate").alias("y")).agg(
+        F.count("*").cast("int").alias("games"), F.sum(c("l_quantity").cast("int")).cast("int").alias("mp"),
+        F.sum(F.floor(c("l_extendedprice") / 1000)).cast("int").alias("pts"), F.sum("l_linenumber").cast("int").alias("trb"),
+        flag("l_returnflag", "A").alias("ast"), flag("l_returnflag", "R").alias("stl"), flag("l_returnflag", "N").alias("blk"),
+        flag("l_linestatus", "F").alias("tov"), F.sum(cents(c("l_discount"))).cast("int").alias("fg3a"),
+        F.sum(cents(c("l_tax"))).cast("int").alias("fg2a"))
+    suppliers = table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("player_id"), c("s_name").alias("name"), "s_nationkey", "s_acctbal")
+    share = lambda x, by: (x / float(by)).cast("float")
+    positions = F.array(*[F.lit(p) for p in ("PG", "SG", "SF", "PF", "C", "SF-PF")])
+    return lines.join(suppliers, "player_id").withColumns({
+        "season": F.concat(c("y").cast("string"), F.lit("-"), F.lpad(((c("y") + 1) % 100).cast("string"), 2, "0")),
+        "season_start_year": c("y"), "player_salary": (1_000_000 + cents(F.abs("s_acctbal")) * 10).cast("bigint"),
+        "salary_cap": 20_000_000 + 1_000_000 * (c("y") - 1995), "pos": F.element_at(positions, (c("s_nationkey") % 6 + 1).cast("int")),
+        "usg_pct": share(15 + c("trb") % 16, 1), "ts_pct": F.when(c("player_id") % 11 != 0, share(50 + c("games") % 15, 100)),
+        "ast_pct": share(c("pts") % 45, 1), "blk_pct": share(c("mp") % 60, 10), "orb_pct": share(c("trb") % 12, 1),
+        "ws_per_48": share(c("ast") % 25, 100), "fg3a_per_fga_pct": share(c("fg3a") % 60, 100), "ws": share(c("trb") % 120 - 10, 10),
+        "vorp": share(c("ast") % 70 - 10, 10), "bpm": share(c("pts") % 200 - 100, 10), "per": share(c("mp") % 300, 10),
+    }).drop("s_acctbal")
 
 
 def supplier_seasons_x(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ssx``: ``ss`` plus a team tag (every 9th supplier is a multi-team
     aggregate row) and a cap share that is NULL for every 13th supplier and
     below 1% for every 17th (FIXTURES.md 3.1)."""
-    return spark.sql("WITH " + SS_SPARK_SQL + """,
-ssx AS (
-SELECT ss.*,
-  CASE WHEN player_id % 9 = 0 THEN '2TM' ELSE concat('N', CAST(s_nationkey AS STRING)) END AS team_name_abbr,
-  CASE WHEN player_id % 13 = 0 THEN CAST(NULL AS DOUBLE)
-       WHEN player_id % 17 = 0 THEN round(player_salary / salary_cap, 6) / 100
-       ELSE round(player_salary / salary_cap, 6) END AS salary_pct_of_cap
-FROM ss)
-SELECT * FROM ssx""", lineitem=table(spark, sf_dir, "lineitem"), supplier=table(spark, sf_dir, "supplier"))
+    c = F.col
+    share = F.round(c("player_salary") / c("salary_cap"), 6)
+    return supplier_seasons(spark, sf_dir).withColumns({
+        "team_name_abbr": F.when(c("player_id") % 9 == 0, F.lit("2TM")).otherwise(F.concat(F.lit("N"), c("s_nationkey").cast("string"))),
+        "salary_pct_of_cap": F.when(c("player_id") % 13 == 0, F.lit(None)).when(c("player_id") % 17 == 0, share / 100).otherwise(share)})
 
 
 # ---------------------------------------------------------------- SQL side
@@ -87,14 +100,6 @@ SELECT b.*, s_name AS name, s_nationkey,
 FROM b JOIN supplier ON s_suppkey = player_id)"""
 
 
-# Spark text of the same shape: table placeholders for DataFrame arguments and
-# integer rounding of the two-decimal columns (see ``cents``).
-SS_SPARK_SQL = (SS_SQL.replace("FROM lineitem", "FROM {lineitem}").replace("JOIN supplier", "JOIN {supplier}")
-                .replace("round(l_discount * 100)", "floor(l_discount * 100 + 0.5)")
-                .replace("round(l_tax * 100)", "floor(l_tax * 100 + 0.5)")
-                .replace("round(abs(s_acctbal) * 100)", "floor(abs(s_acctbal) * 100 + 0.5)"))
-
-
 def sql_round_ratio(num: str, den: str, digits: int) -> str:
     """Spark's ``round(num / den, digits)`` (half-up on the decimal value) for
     non-negative integers, computed exactly with integer division."""
