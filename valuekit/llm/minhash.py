@@ -7,17 +7,22 @@ evaluations give a signature of the same length. Signatures are cut into bands;
 documents that share a band are candidates, and every link is confirmed on the
 full sets of shingles.
 
-Groups are never expanded into all their pairs:
+Groups are never expanded into pairs of rows:
 
 * documents with equal shingle sets form one class, which one member stands for;
-* in each band bucket every member is compared with the bucket's hub (its
-  smallest class), and what is linked is merged into components;
-* a second round takes another hub, the largest class; only then are
-  members that share a bucket but no component compared pair by pair. A large
-  group of near copies is one component by then and yields no pair at all.
-
-With 48 bands of 5 values a pair at similarity 0.8 exactly shares no band with
-probability (1 - 0.8^5)^48, about 5e-9.
+* in each band bucket every class is tied to the bucket's smallest one, and the
+  connected components of these ties hold all candidates of each of their
+  classes;
+* a component is dealt into blocks of about BLOCK classes by hash, and each pair
+  of blocks is one unit of work: it gets the full sets of both blocks, counts
+  all intersections at once (shingles of few classes by their short lists,
+  frequent ones by a matrix product) and returns only a spanning star of each
+  group of linked classes. No unit holds more than two blocks, however large a
+  component is;
+* the components of these links are the result.
+
+A band takes ROWS of the signature's values, drawn at random for each band. A
+pair at similarity 0.8 exactly shares no band with a probability of about 1e-6.
 
 Defined results: null, empty and all-blank texts have no shingles, link with
 nothing and are kept; fewer words than a shingle form one shingle; rows that
@@ -42,8 +47,11 @@ ship(__name__)
 
 SHINGLE = 4
 SIMILARITY = 0.8
-BANDS, ROWS = 48, 5
-PERMUTATIONS = BANDS * ROWS // 2
+PERMUTATIONS = 120
+BANDS, ROWS = 72, 7
+BLOCK = 512
+#: Shingles that at most so many classes of a unit share are counted by lists.
+FEW = 24
 SEED = 20_011
 
 
@@ -70,9 +78,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     """One 64-bit key a band, different for different bands."""
-    rows = signature(shingles).reshape(BANDS, ROWS)
-    # a band takes values of different permutations' minima and maxima
-    return mix((mix(rows) * odd_multipliers(ROWS, 3)[None, :]).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    chosen = np.random.default_rng(SEED).permuted(np.tile(np.arange(2 * PERMUTATIONS), (BANDS, 1)), axis=1)[:, :ROWS]
+    rows = mix(signature(shingles))[chosen] * odd_multipliers(ROWS, 3)[None, :]
+    return mix(rows.sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def digests(docs: DataFrame, k: int) -> DataFrame:
@@ -111,12 +119,76 @@ def class_id(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough."""
-    left, right = sets.select(F.col("c").alias("u"), F.col("s").alias("su")), sets.select(F.col("c").alias("v"), F.col("s").alias("sv"))
-    both = F.size(F.array_intersect("su", "sv"))
-    return (pairs.join(left, "u").join(right, "v").withColumn("both", both)
-            .where(100 * F.col("both") >= percent * (F.size("su") + F.size("sv") - F.col("both"))).select("u", "v"))
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of the sets."""
+    n = len(sets)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    group = np.cumsum(new) - 1
+    shared = np.bincount(group)
+    both = np.zeros(n * n)
+    few = (shared[group] > 1) & (shared[group] <= FEW)
+    g, o = group[few], owner[few]
+    for step in range(1, FEW):
+        same = g[step:] == g[:-step] if step < len(g) else np.zeros(0, bool)
+        if not same.any():
+            break
+        both += np.bincount(o[:-step][same] * n + o[step:][same], minlength=n * n)
+    both = both.reshape(n, n)
+    both = both + both.T
+    many = shared[group] > FEW
+    if many.any():
+        column = np.unique(group[many], return_inverse=True)[1]
+        o = owner[many]
+        for lo in range(0, int(column.max()) + 1, 4096):
+            part = (column >= lo) & (column < lo + 4096)
+            has = np.zeros((n, min(4096, int(column.max()) + 1 - lo)), np.float32)
+            has[o[part], column[part] - lo] = 1
+            both += has @ has.T
+    return both
+
+
+def linked(classes: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A star for each group of sets that links of enough similarity connect."""
+    size = np.array([len(x) for x in sets], float)
+    both = intersections(sets)
+    link = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(link, True)
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(link, label[None, :], len(sets)).min(1)
+        if (least == label).all():
+            break
+        label = least
+    return [(classes[i], classes[k]) for i, k in enumerate(label) if i != k and classes[i] != classes[k]]
+
+
+def confirmed(units: DataFrame, percent: int) -> DataFrame:
+    """u, v: linked classes, from rows (root, i, j, c, s) of the units."""
+    def run(batches):
+        key, classes, sets = None, [], []
+
+        def close():
+            found = linked(classes, sets, percent) if len(sets) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
+            for k, c, s in zip(keys, batch.column(3).to_pylist(), batch.column(4)):
+                if k != key:
+                    if len(sets) > 1:
+                        yield close()
+                    key, classes, sets = k, [], []
+                classes.append(c)
+                sets.append(s.values.to_numpy())
+        if len(sets) > 1:
+            yield close()
+
+    return (units.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "c")
+            .select("root", "i", "j", "c", "s").mapInArrow(run, "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -124,54 +196,31 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMIL
     percent = round(similarity * 100)
     rows = staged(digests(docs, k), "minmax")
     classes = staged(rows.where("n_shingles > 0").groupBy("c")
-                     .agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("m"))
-                     .select("c", F.col("m.doc_id").alias("doc_id"), F.col("m.n_shingles").alias("n"), F.col("m.bands").alias("bands")), "classes")
-    banded = classes.select("c", "n", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
-    banded = staged(banded.join(shared, "bucket"), "buckets")
-    candidates = classes.join(banded.select("c").distinct(), "c", "left_semi").select("c", "doc_id")
-    sets = staged(sets_of(docs, candidates, k), "sets")
-
-    similar_size = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
-    hub_orders = (F.struct("c", "n", "root"), F.struct((-F.col("c")).alias("k"), "c", "n", "root"))
-    links = tried = None
-    members = banded.withColumn("root", F.col("c"))
-    for order in hub_orders:
-        hubs = (members.groupBy("bucket").agg(F.min(order).alias("h"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-                .where("r0 < r1").select("bucket", F.col("h.c").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.root").alias("hub_root")))
-        pairs = (members.join(hubs, "bucket").where(f"root <> hub_root and {similar_size}")
-                 .select(F.greatest("c", "hub").alias("u"), F.least("c", "hub").alias("v")).distinct())
-        pairs = staged(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "hub-pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        found = staged(confirmed(sets, pairs, percent), "links")
-        links = found if links is None else links.union(found)
-        if found.isEmpty():
-            break
-        members = _with_roots(banded, staged(components(links), "roots"))
-
-    # what still shares a bucket across components is compared pair by pair
-    mixed = members.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("bucket")
-    rest = members.join(mixed, "bucket")
-    other = rest.select("bucket", F.col("c").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
-    pairs = staged(rest.join(other, "bucket").where(f"hub < c and root <> hub_root and {similar_size}")
-                   .select(F.col("c").alias("u"), F.col("hub").alias("v")).distinct().join(tried, ["u", "v"], "left_anti"), "rest-pairs")
-    found = staged(confirmed(sets, pairs, percent), "links")
-    roots = components(links.union(found))
+                     .agg(F.min(F.struct("doc_id", "bands")).alias("m"))
+                     .select("c", F.col("m.doc_id").alias("doc_id"), F.col("m.bands").alias("bands")), "classes")
+    banded = classes.select("c", F.explode("bands").alias("bucket"))
+    first = banded.groupBy("bucket").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last").select("bucket", "hub")
+    ties = banded.join(first, "bucket").where("c <> hub").select(F.col("c").alias("u"), F.col("hub").alias("v"))
+    loose = staged(components(ties), "candidates")
+
+    blocks = loose.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = (loose.join(blocks, "root").withColumn("own", own)
+             .select("root", F.col("node").alias("c"), "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+             .select("root", "c", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    sets = sets_of(docs, classes.join(loose, F.col("c") == F.col("node"), "left_semi"), k)
+    links = staged(confirmed(dealt.join(sets, "c"), percent), "links")
+    roots = components(links)
 
     rooted = staged(classes.select("c", "doc_id").join(roots, F.col("c") == F.col("node"), "left")
                     .select("c", "doc_id", F.coalesce("root", "c").alias("root")), "rooted")
-    first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = rooted.join(first, "root").select("c", "component_id")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    by_class = rooted.join(least, "root").select("c", "component_id")
     return (rows.join(by_class, "c", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return (members.join(roots, F.col("c") == F.col("node"), "left")
-            .select("bucket", "c", "n", F.coalesce("root", "c").alias("root")))
-
-
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
