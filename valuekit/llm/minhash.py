@@ -100,6 +100,10 @@ def digests(docs: DataFrame, k: int) -> DataFrame:
             .mapInArrow(run, "doc_id long, n_shingles long, c long, bands array<long>"))
 
 
+#: Stands for a null doc_id in a join: such rows are all looked at.
+NO_ID = -(1 << 63)
+
+
 def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     """c, s: the full shingle sets of the classes in ``reps`` (c, doc_id)."""
     def run(batches):
@@ -109,9 +113,8 @@ def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([class_id(md5(s.tobytes()).digest()) for s in sets], pa.int64()),
                                               pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["c", "s"])
 
-    wanted = reps.select("doc_id")
-    chosen = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-              .join(wanted, "doc_id", "left_semi"))
+    chosen = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
+              .join(reps.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id")), "id", "left_semi"))
     return chosen.select("text").mapInArrow(run, "c long, s array<long>").dropDuplicates(["c"])
 
 
@@ -196,7 +199,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMIL
     percent = round(similarity * 100)
     rows = staged(digests(docs, k), "minmax")
     classes = staged(rows.where("n_shingles > 0").groupBy("c")
-                     .agg(F.min(F.struct("doc_id", "bands")).alias("m"))
+                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "bands")).alias("m"))
                      .select("c", F.col("m.doc_id").alias("doc_id"), F.col("m.bands").alias("bands")), "classes")
     banded = classes.select("c", F.explode("bands").alias("bucket"))
     first = banded.groupBy("bucket").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last").select("bucket", "hub")
