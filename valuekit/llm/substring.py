@@ -160,7 +160,8 @@ def repeated_spans(source: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataF
     table = staged(path_table(source, k, m), "paths")
     shared = (table.groupBy("a").agg(F.count("*").alias("c"), F.min("d1").alias("lo"), F.max("d1").alias("hi"))
               .where("c > 1").select("a", (F.col("lo") != F.col("hi")).alias("branching")))
-    shared = staged(table.join(shared, "a"), "shared-paths")
+    # written first: a join right on the aggregate would take over its partitions and could not split a hot anchor
+    shared = staged(table.join(staged(shared, "anchors"), "a"), "shared-paths")
     sure = shared.where("not branching").select("rid", "first", "n")  # one path, more than one occurrence
     branching = shared.where("branching")
     edges = (branching.groupBy("a", "d1", "d2", "n")
@@ -204,8 +205,9 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
             kind = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(out, kind)], [f.name for f in schema])
 
-    return (carried.join(spans.withColumnRenamed("rid", "rid of row"), "rid of row", "left")
-            .select(text_or_empty().alias("text of row"), "spans", *docs.columns).mapInArrow(run, schema))
+    spans = spans.select(F.col("rid").alias("rid of row"), F.col("spans").alias("spans of row"))
+    return (carried.join(spans, "rid of row", "left")
+            .select(text_or_empty().alias("text of row"), "spans of row", *docs.columns).mapInArrow(run, schema))
 
 
 def remove_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
