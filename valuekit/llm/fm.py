@@ -31,8 +31,8 @@ MAX_ROWS = 20_000
 #: At most so many hashed terms have weights: each seen in MIN_DOCS rows, and
 #: tied to the label by a chi-square statistic of at least MIN_CHI2.
 MAX_TERMS = 1 << 14
-MIN_DOCS = 5
-MIN_CHI2 = 20.0
+MIN_DOCS = 3
+MIN_CHI2 = 15.0
 RANK = 4
 EPOCHS = 40
 BATCH = 256
