@@ -58,7 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
                            "(needed for staged tables and scratch output)")
     d = tempfile.mkdtemp(prefix="valuekit-ckpt-")
