@@ -224,11 +224,10 @@ def with_next(docs: DataFrame, n_ranges: int) -> DataFrame:
     firsts = sorted((r.pid, -r.m.neg, r.m.h) for r in rows.groupBy("pid").agg(
         F.min(F.struct((-F.greatest("o", F.lit(LAST + 1))).alias("neg"), "h")).alias("m")).collect())  # one row a range
     guests = [(firsts[i - 1][0], o, h) for i, (_, o, h) in enumerate(firsts)]
-    copies = F.array(F.struct(F.col("pid").alias("pid"), F.lit(0).alias("guest")))
-    for to, o, h in guests:
-        copies = F.when((F.greatest("o", F.lit(LAST + 1)) == o) & (F.col("h") == h),
-                        F.array(F.struct(F.col("pid").alias("pid"), F.lit(0).alias("guest")),
-                                F.struct(F.lit(to).alias("pid"), F.lit(1).alias("guest")))).otherwise(copies)
+    marks = rows.sparkSession.createDataFrame(guests, "to int, go long, gh long")  # one row a range
+    rows = rows.join(F.broadcast(marks), (F.greatest("o", F.lit(LAST + 1)) == F.col("go")) & (F.col("h") == F.col("gh")), "left")
+    own = F.struct(F.col("pid").cast("int").alias("pid"), F.lit(0).alias("guest"))
+    copies = F.when(F.col("to").isNotNull(), F.array(own, F.struct(F.col("to").alias("pid"), F.lit(1).alias("guest")))).otherwise(F.array(own))
     dealt = rows.withColumn("copy", F.explode(copies)).select("copy.pid", "copy.guest", "doc_id", "o", "h", "text")
     return (dealt.repartition(n_ranges, "pid").sortWithinPartitions("pid", "guest", F.desc("o"), "h")
             .select("pid", "guest", "doc_id", "text"))
