@@ -169,7 +169,7 @@ def repeated_spans(source: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataF
     edges = staged(edges, "edges")
     compact = branching.join(edges.where("c > 1").select("a", "d1", "d2", "n"), ["a", "d1", "d2", "n"], "left_semi").select("rid", "first", "n")
     kmers = staged(opened(source, edges.select(F.col("source.rid").alias("rid"), F.col("source.first").alias("first"), "n"), k), "kmers")
-    again = kmers.groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2")
+    again = staged(kmers.groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2"), "again")
     single = kmers.join(again, ["k1", "k2"], "left_semi").select("rid", F.col("at").alias("first"), F.lit(1).alias("n"))
     return sure.union(compact).union(single)
 
