@@ -156,22 +156,28 @@ def opened(source: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
 
 
 def repeated_spans(source: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
-    """rid, first, n: k-mers [first, first + n) of the row occur elsewhere."""
+    """rid, spans: of each row with repeats, the (first, n) of its k-mers
+    [first, first + n) that occur elsewhere. A row's spans are all its paths of
+    shared anchors, less those whose path occurs nowhere else, and the single
+    k-mers of these that do."""
     table = staged(path_table(source, k, m), "paths")
     shared = (table.groupBy("a").agg(F.count("*").alias("c"), F.min("d1").alias("lo"), F.max("d1").alias("hi"))
               .where("c > 1").select("a", (F.col("lo") != F.col("hi")).alias("branching")))
     # written first: a join right on the aggregate would take over its partitions and could not split a hot anchor
     shared = staged(table.join(staged(shared, "anchors"), "a"), "shared-paths")
-    sure = shared.where("not branching").select("rid", "first", "n")  # one path, more than one occurrence
-    branching = shared.where("branching")
-    edges = (branching.groupBy("a", "d1", "d2", "n")
+    edges = (shared.where("branching").groupBy("a", "d1", "d2", "n")
              .agg(F.count("*").alias("c"), F.min(F.struct("rid", "first")).alias("source")))
     edges = staged(edges, "edges")
-    compact = branching.join(edges.where("c > 1").select("a", "d1", "d2", "n"), ["a", "d1", "d2", "n"], "left_semi").select("rid", "first", "n")
+    # a path that occurs once is its own source: no join is needed to find its row
+    alone = edges.where("c = 1").select(F.col("source.rid").alias("rid"), F.col("source.first").alias("first"), "n")
     kmers = staged(opened(source, edges.select(F.col("source.rid").alias("rid"), F.col("source.first").alias("first"), "n"), k), "kmers")
     again = staged(kmers.groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2"), "again")
     single = kmers.join(again, ["k1", "k2"], "left_semi").select("rid", F.col("at").alias("first"), F.lit(1).alias("n"))
-    return sure.union(compact).union(single)
+    rows = (shared.select("rid", "first", "n", F.lit("shared").alias("kind"))
+            .union(alone.select("rid", "first", "n", F.lit("alone"))).union(single.select("rid", "first", "n", F.lit("single"))))
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.struct("first", "n"))).alias(kind)
+    spans = rows.groupBy("rid").agg(of("shared"), of("alone"), of("single"))
+    return spans.select("rid", F.array_union(F.array_except("shared", "alone"), "single").alias("spans")).where("size(spans) > 0")
 
 
 CUT = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType()),
@@ -182,8 +188,7 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
     """The columns of ``docs`` and, as struct ``cut``: n_words, n_removed,
     kept_sha256 and kept_text (the kept words joined by one space)."""
     source = _source(docs)
-    spans = repeated_spans(source, k).groupBy("rid").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
-    spans = staged(spans, "spans")
+    spans = staged(repeated_spans(source, k), "spans")
     carried = docs.withColumn("rid of row", F.xxhash64(F.col("doc_id").cast("long"), text_or_empty()))
     schema = StructType([*docs.schema.fields, StructField("cut", CUT)])
 
