@@ -40,8 +40,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest doc_id. Rows
-    that repeat both doc_id and text become one."""
+    """One document of each group of near-duplicates (five-word shingles at
+    0.8): the smallest doc_id. Rows that repeat both doc_id and text become one."""
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     stays = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
     return stays.dropDuplicates(["doc_id", "text"])

@@ -45,7 +45,9 @@ from valuekit.llm.components import components
 
 ship(__name__)
 
-SHINGLE = 4
+SHINGLE = 5
+#: The contract of the query op8_minhash and its SQL.
+QUERY_SHINGLE = 4
 SIMILARITY = 0.8
 PERMUTATIONS = 120
 BANDS, ROWS = 72, 7
@@ -225,7 +227,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMIL
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents"), k=QUERY_SHINGLE)
 
 
 ORACLE_SQL = """
