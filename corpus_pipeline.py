@@ -6,8 +6,8 @@ Stages take (spark, docs, sf_dir) and work on all rows of ``docs``; all but the
 last return the columns of ``docs``. Labels come from ``sf_dir``.
 
 Defined results: null texts count as empty and are neither toxic nor repeated;
-rows without doc_id are kept unless they copy a document that has one; extra
-columns are carried along, except through packing.
+one row of each group of near-duplicates is kept, and it has no doc_id only if
+no row of the group has one; extra columns are carried along, except through packing.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuekit.llm.common import read_table, staged
-from valuekit.llm.minhash import near_duplicates
+from valuekit.llm.minhash import first_of_each, text_digest
 from valuekit.llm.packing import pack
 from valuekit.llm.quality import quality_model, score_quality
 from valuekit.llm.substring import cut_repeats
@@ -40,11 +40,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles at
-    0.8): the smallest doc_id. Rows that repeat both doc_id and text become one."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    stays = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
-    return stays.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near-duplicates (five-word shingles at 0.8): the
+    smallest doc_id, of its texts any one. Rows that repeat both doc_id and text
+    become one; otherwise rows without a word all stay."""
+    kept = first_of_each(docs).select(F.col("doc_id").alias("kept_id"), F.col("t").alias("kept_text"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (text_digest() == F.col("kept_text"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

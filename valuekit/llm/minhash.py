@@ -37,7 +37,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valuekit.llm.common import WordHashes, byte_words, kept_in_process, mix, odd_multipliers, read_table, ship, staged, text_or_empty, window_hashes
@@ -85,8 +85,13 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return mix(rows.sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def text_digest() -> Column:
+    """With doc_id, tells rows apart that differ; a null text counts as empty."""
+    return F.unhex(F.md5(F.encode(text_or_empty(), "UTF-8")))
+
+
 def digests(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, c (the class: a digest of the set), bands."""
+    """doc_id, n_shingles, c (the class: a digest of the set), bands, t (a digest of the text)."""
     def run(batches):
         words = kept_in_process(("words",), WordHashes)
         for batch in batches:
@@ -96,10 +101,10 @@ def digests(docs: DataFrame, k: int) -> DataFrame:
                 out.append((len(s), class_id(md5(s.tobytes()).digest()), band_keys(s) if len(s) else []))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
-                 pa.array([x[2] for x in out], pa.list_(pa.int64()))], ["doc_id", "n_shingles", "c", "bands"])
+                 pa.array([x[2] for x in out], pa.list_(pa.int64())), batch.column(2)], ["doc_id", "n_shingles", "c", "bands", "t"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, c long, bands array<long>"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), text_digest().alias("t"))
+            .mapInArrow(run, "doc_id long, n_shingles long, c long, bands array<long>, t binary"))
 
 
 #: Stands for a null doc_id in a join: such rows are all looked at.
@@ -196,13 +201,14 @@ def confirmed(units: DataFrame, percent: int) -> DataFrame:
             .select("root", "i", "j", "c", "s").mapInArrow(run, "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
+def grouped(docs: DataFrame, k: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """The digests of the documents, and their classes (c) with the first row of
+    each by doc_id, nulls last, and text (doc_id, t) and the component (root)."""
     percent = round(similarity * 100)
     rows = staged(digests(docs, k), "minmax")
     classes = staged(rows.where("n_shingles > 0").groupBy("c")
-                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "bands")).alias("m"))
-                     .select("c", F.col("m.doc_id").alias("doc_id"), F.col("m.bands").alias("bands")), "classes")
+                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "bands")).alias("m"))
+                     .select("c", F.col("m.doc_id").alias("doc_id"), F.col("m.t").alias("t"), F.col("m.bands").alias("bands")), "classes")
     banded = classes.select("c", F.explode("bands").alias("bucket"))
     first = banded.groupBy("bucket").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last").select("bucket", "hub")
     ties = banded.join(first, "bucket").where("c <> hub").select(F.col("c").alias("u"), F.col("hub").alias("v"))
@@ -217,8 +223,22 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMIL
     links = staged(confirmed(dealt.join(sets, "c"), percent), "links")
     roots = components(links)
 
-    rooted = staged(classes.select("c", "doc_id").join(roots, F.col("c") == F.col("node"), "left")
-                    .select("c", "doc_id", F.coalesce("root", "c").alias("root")), "rooted")
+    return rows, staged(classes.select("c", "doc_id", "t").join(roots, F.col("c") == F.col("node"), "left")
+                        .select("c", "doc_id", "t", F.coalesce("root", "c").alias("root")), "rooted")
+
+
+def first_of_each(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, t (text_digest()): the row that stays of each component, the
+    smallest doc_id (null only if the component has none) and of its texts the
+    one with the smallest digest; and all rows without shingles."""
+    rows, rooted = grouped(docs, k, similarity)
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("m"))
+    return first.select("m.doc_id", "m.t").union(rows.where("n_shingles = 0").select("doc_id", "t"))
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document."""
+    rows, rooted = grouped(docs, k, similarity)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_class = rooted.join(least, "root").select("c", "component_id")
     return (rows.join(by_class, "c", "left")
