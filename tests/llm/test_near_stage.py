@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline as pipeline
 import pytest
-from test_texts import brute_components, near_rows, text_of
+from brute import brute_components, near_rows, text_of
 
 from valuekit.llm import minhash
 
