@@ -44,6 +44,7 @@ ship(__name__)
 
 WINDOW = 35
 ANCHOR = 8
+SPAN = 1 << 32
 SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd bases of the two digests
 
 
@@ -156,7 +157,7 @@ def opened(source: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
 
 
 def repeated_spans(source: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataFrame:
-    """rid, spans: of each row with repeats, the (first, n) of its k-mers
+    """rid, spans: of each row with repeats, first * SPAN + n of its k-mers
     [first, first + n) that occur elsewhere. A row's spans are all its paths of
     shared anchors, less those whose path occurs nowhere else, and the single
     k-mers of these that do."""
@@ -173,9 +174,11 @@ def repeated_spans(source: DataFrame, k: int = WINDOW, m: int = ANCHOR) -> DataF
     kmers = staged(opened(source, edges.select(F.col("source.rid").alias("rid"), F.col("source.first").alias("first"), "n"), k), "kmers")
     again = staged(kmers.groupBy("k1", "k2").agg(F.count("*").alias("c")).where("c > 1").select("k1", "k2"), "again")
     single = kmers.join(again, ["k1", "k2"], "left_semi").select("rid", F.col("at").alias("first"), F.lit(1).alias("n"))
-    rows = (shared.select("rid", "first", "n", F.lit("shared").alias("kind"))
-            .union(alone.select("rid", "first", "n", F.lit("alone"))).union(single.select("rid", "first", "n", F.lit("single"))))
-    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.struct("first", "n"))).alias(kind)
+    # a span is one long, so the differences of a row's lists go through hash sets
+    span = (F.col("first").cast("long") * SPAN + F.col("n")).alias("span")
+    rows = (shared.select("rid", span, F.lit("shared").alias("kind"))
+            .union(alone.select("rid", span, F.lit("alone"))).union(single.select("rid", span, F.lit("single"))))
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("span"))).alias(kind)
     spans = rows.groupBy("rid").agg(of("shared"), of("alone"), of("single"))
     return spans.select("rid", F.array_union(F.array_except("shared", "alone"), "single").alias("spans")).where("size(spans) > 0")
 
@@ -200,9 +203,9 @@ def cut_repeats(docs: DataFrame, k: int = WINDOW) -> DataFrame:
                 kept = words
                 if cuts:
                     edge = np.zeros(len(words) + 1, np.int32)
-                    first = np.array([c["first"] for c in cuts])
+                    first, n = np.divmod(np.array(cuts), SPAN)
                     np.add.at(edge, first, 1)
-                    np.add.at(edge, first + np.array([c["n"] for c in cuts]) + k - 1, -1)
+                    np.add.at(edge, first + n + k - 1, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
                 joined = b" ".join(kept)
                 out.append({"n_words": len(words), "n_removed": len(words) - len(kept), "kept_sha256": sha256(joined).hexdigest(),
