@@ -103,15 +103,15 @@ def steps(kids: str, lo: Column, hi: Column) -> Column:
     return F.struct(before.alias("before"), after.alias("after"))
 
 
-def paths(levels: list[DataFrame], above: DataFrame) -> DataFrame:
+def paths(levels: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
     """The families of level 0 with ``path``: the steps of their parent up to
     the root. ``above``: tree, path of the tree's top, and what else its nodes
-    carry."""
-    down, carried = None, [c for c in above.columns if c != "tree"]
+    carry; without it, the tops are roots."""
+    down, carried = None, [c for c in above.columns if c != "tree"] if above else ["path"]
     for level in range(len(levels) - 1, -1, -1):
         family, step = levels[level], FANOUT ** (level + 2)
-        at_top = family.where(F.col("size") <= FANOUT ** (level + 1)).join(above, "tree").select(*family.columns, *carried)
-        out = at_top
+        out = family.where(F.col("size") <= FANOUT ** (level + 1))
+        out = out.join(above, "tree").select(*family.columns, *carried) if above else out.withColumn("path", no_steps())
         if down is not None:
             up = down.select(F.col("tree").alias("up_tree"), F.col("bucket").alias("up_bucket"), F.col("lo").alias("up_lo"), F.col("hi").alias("up_hi"),
                              F.col("kids").alias("up_kids"), *(F.col(c).alias(f"up_{c}") for c in carried))
@@ -160,8 +160,7 @@ def manifest(docs: DataFrame) -> DataFrame:
                      F.col("top").alias("h"), "src"))
     crown = forest(staged(upper, "subroots"), "crown", "src")
     root = F.lit((tops(crown).first() or [None, None])[1]).cast("string")
-    at_root = docs.sparkSession.range(1).select(F.lit("").alias("tree"), no_steps().alias("path"))
-    above = (paths(crown, at_root).select("size", "kids", "path", F.explode("kids").alias("own"))
+    above = (paths(crown).select("size", "kids", "path", F.explode("kids").alias("own"))
              .select(F.col("own.src").alias("tree"), own_path().alias("path"), F.col("own.h").alias("subroot")))
     each = (paths(levels, staged(above, "above")).select("size", "kids", "path", "subroot", F.explode("kids").alias("own"))
             .select(F.col("own.doc_id").alias("doc_id"), F.col("own.h").alias("leaf"), F.col("own.tampered").alias("tampered"), "subroot",
