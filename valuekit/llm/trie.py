@@ -51,7 +51,7 @@ ship(__name__)
 
 GROUP = 20
 HEADS = 4
-SHARD = 16_384
+SHARD = 2048
 #: Messages that a priority queue holds in memory.
 QUEUE = 200_000
 RUNS = 32
