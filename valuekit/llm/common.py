@@ -7,7 +7,7 @@ import sys
 from hashlib import blake2b
 
 import numpy as np
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +24,16 @@ ship(__name__)
 
 def kept_in_process(key: tuple, make):
     """What ``make()`` returns, made once in a Python worker and shared by the
-    tasks that run in it (for read-only models and bounded caches)."""
+    tasks that run in it (for read-only models and bounded caches). What tasks
+    of other stages have left goes, unless it has the same key, so a worker that
+    is used again does not hold the caches of all stages before."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else -1
     kept = sys.__dict__.setdefault("_valuekit_kept", {})
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    for other in [k for k, (last, _) in kept.items() if last != stage and k != key]:
+        del kept[other]
+    kept[key] = (stage, kept[key][1] if key in kept else make())
+    return kept[key][1]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +47,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    folder, fs = _folder(spark, path)
+    fs.deleteOnExit(folder)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        folder, fs = _folder(df.sparkSession, df.staged_path)
+        fs.delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -43,13 +43,16 @@ Features = Callable[[str, WordHashes], tuple[np.ndarray, np.ndarray]]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, usable, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text, y of the bounded sample. Rows without doc_id or label take no
-    part; a doc_id that is labelled twice counts twice."""
+    """text, y of the bounded sample: of the documents with a label, those with
+    the smallest hashes of doc_id and text, however often a doc_id repeats. Rows
+    without doc_id or label take no part; a doc_id that is labelled twice counts
+    twice."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & usable)
               .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "y")
+    joined = texts.join(F.broadcast(chosen), "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))
+    return joined.orderBy("h", "doc_id", "y").limit(max_rows).select("text", "y")
 
 
 class Model:
@@ -138,7 +141,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rank: int = RA
 def train(rows: DataFrame, features: Features) -> Model:
     """Fit on ``rows`` (text, y): features on the executors, then one task."""
     def extract(batches):
-        words = kept_in_process(("fm words",), WordHashes)
+        words = kept_in_process(("words",), WordHashes)
         for batch in batches:
             made = [features(t.as_py(), words) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
@@ -169,11 +172,13 @@ def apply(docs: DataFrame, model: Model, features: Features, threshold: float, *
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS terms
     schema = StructType([*(docs.schema[c] for c in keep), StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
 
+    text = keep.index("text") if "text" in keep else len(keep)  # goes to Python once
+
     def run(batches):
-        words, model = kept_in_process(("fm words",), WordHashes), sent.value
+        words, model = kept_in_process(("words",), WordHashes), sent.value
         for batch in batches:
-            scores = np.array([model.score(*features(t.as_py() or "", words)) for t in batch.column(0)], float)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
+            scores = np.array([model.score(*features(t.as_py() or "", words)) for t in batch.column(text)], float)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
                                              [*keep, *names])
 
-    return docs.select(F.col("text").alias("text to score"), *keep).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
