@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuekit.llm.common import staged
+from valuekit.llm.common import dropped, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,19 +15,21 @@ def components(edges: DataFrame) -> DataFrame:
     Each round ties every node's larger neighbours to its smallest one (large
     star), then its smaller neighbours likewise (small star), until nothing
     changes. Every step is a grouped minimum (combined before the shuffle) and
-    a join; each round's edges are written to the shared folder."""
+    a join; the minima and each round's edges are written to the shared folder, the
+    minima so that the join does not take over their partitions and a hot node's
+    rows can be split, and what a round no longer needs is deleted."""
     now = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, "u")  # neighbour v of u goes to u's minimum
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(least.select("u", F.col("m").alias("v"))))
-        now = staged(small.where("u > v").distinct(), "edges")
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        # neighbour v of u goes to u's minimum
+        large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
+        lower = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = (large.join(lower, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .union(lower.select("u", F.col("m").alias("v"))))
+        past, now = now, staged(small.where("u > v").distinct(), "edges")
+        dropped(past, least, large, lower)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             break

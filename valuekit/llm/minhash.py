@@ -13,7 +13,8 @@ Groups are never expanded into pairs of rows:
 * in each band bucket every class is tied to the bucket's smallest one, and the
   connected components of these ties hold all candidates of each of their
   classes;
-* a component is dealt into blocks of about BLOCK classes by hash, and each pair
+* a component is dealt into blocks of about BLOCK classes (fewer, if they have
+  more than BLOCK_SHINGLES shingles) by hash, and each pair
   of blocks is one unit of work: it gets the full sets of both blocks, counts
   all intersections at once (shingles of few classes by their short lists,
   frequent ones by a matrix product) and returns only a spanning star of each
@@ -52,6 +53,8 @@ SIMILARITY = 0.8
 PERMUTATIONS = 120
 BANDS, ROWS = 72, 7
 BLOCK = 512
+#: Shingles that the classes of a block have on average at most, one class excepted.
+BLOCK_SHINGLES = 2_000_000
 #: Shingles that at most so many classes of a unit share are counted by lists.
 FEW = 24
 SEED = 20_011
@@ -207,14 +210,16 @@ def grouped(docs: DataFrame, k: int, similarity: float) -> tuple[DataFrame, Data
     percent = round(similarity * 100)
     rows = staged(digests(docs, k), "minmax")
     classes = staged(rows.where("n_shingles > 0").groupBy("c")
-                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "bands")).alias("m"))
-                     .select("c", F.col("m.doc_id").alias("doc_id"), F.col("m.t").alias("t"), F.col("m.bands").alias("bands")), "classes")
+                     .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "bands", "n_shingles")).alias("m"))
+                     .select("c", *(F.col(f"m.{x}").alias(x) for x in ("doc_id", "t", "bands", "n_shingles"))), "classes")
     banded = classes.select("c", F.explode("bands").alias("bucket"))
     first = banded.groupBy("bucket").agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last").select("bucket", "hub")
-    ties = banded.join(first, "bucket").where("c <> hub").select(F.col("c").alias("u"), F.col("hub").alias("v"))
+    # written first, here and below: a join right on the aggregate would take over its partitions and could not split a hot key
+    ties = banded.join(staged(first, "buckets"), "bucket").where("c <> hub").select(F.col("c").alias("u"), F.col("hub").alias("v"))
     loose = staged(components(ties), "candidates")
 
-    blocks = loose.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    loose = loose.join(classes.select(F.col("c").alias("node"), "n_shingles"), "node")
+    blocks = staged(loose.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")), "blocks")
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = (loose.join(blocks, "root").withColumn("own", own)
              .select("root", F.col("node").alias("c"), "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
@@ -239,7 +244,7 @@ def first_of_each(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILAR
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
     rows, rooted = grouped(docs, k, similarity)
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = staged(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     by_class = rooted.join(least, "root").select("c", "component_id")
     return (rows.join(by_class, "c", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
