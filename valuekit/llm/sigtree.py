@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from valuekit.llm.common import WordHashes, kept_in_process, partitions_for, read_table, ship, staged, text_or_empty
+from valuekit.llm.common import WordHashes, dropped, kept_in_process, partitions_for, read_table, ship, staged, text_or_empty
 from valuekit.llm.components import components
 from valuekit.llm.minhash import class_id, linked, sets_of, shingle_set
 
@@ -103,6 +103,14 @@ class Tree:
         return ((100 + percent) * most >= need(lo[a], lo[b], percent)) & (100 * hi[a] >= percent * lo[b])
 
 
+def similar_pairs(n: np.ndarray, rest: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of classes (the smaller one first) may be similar enough."""
+    x, y = bits[a], bits[b]
+    loss = np.minimum(n[a] - np.bitwise_count(x).sum(1, dtype=np.int64), n[b] - np.bitwise_count(y).sum(1, dtype=np.int64))
+    most = np.minimum(loss + np.bitwise_count(x & y).sum(1, dtype=np.int64), np.minimum(rest[a], rest[b]))
+    return ((100 + percent) * most >= need(n[a], n[b], percent)) & (100 * n[a] >= percent * n[b])
+
+
 def groups(n: np.ndarray, rest: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
     """A label for each class; classes that may be similar, by dual traversal,
     get one. ``rest``: size less the place of the shared shingle."""
@@ -203,8 +211,11 @@ def forest_ties(lists: DataFrame, percent: int) -> DataFrame:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
             s, rest = cols[0], cols[1:]
             edge = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1, [len(s)]]) if len(s) else np.zeros(1, np.int64)
-            u, v = [], []
-            for lo, hi in zip(edge[:-2].tolist(), edge[1:-1].tolist()):
+            a = edge[:-2][np.diff(edge[:-1]) == 2]  # lists of two classes, which most are, at once
+            a = a[similar_pairs(rest[0], rest[0] - rest[2], rest[3], a, a + 1, percent)] if len(a) else a
+            u, v = [rest[1][a + 1]], [rest[1][a]]
+            longer = np.flatnonzero(np.diff(edge[:-1]) > 2)
+            for lo, hi in zip(edge[longer].tolist(), edge[longer + 1].tolist()):
                 a, b = tied(*(x[lo:hi] for x in rest))
                 u.append(a)
                 v.append(b)
@@ -242,15 +253,19 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
     near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
     shared = short.withColumn("near", near).where("near").drop("near")
     bits = rows.where("n > 0").select("c", "bits").dropDuplicates(["c"])
-    return staged(forest_ties(staged(shared, "shared").join(bits, "c"), percent).where("u <> v").distinct().union(long_ties), "ties")
+    shared = staged(shared, "shared")
+    ties = staged(forest_ties(shared.join(bits, "c"), percent).where("u <> v").distinct().union(long_ties), "ties")
+    dropped(lists, hubs, shared)
+    return ties
 
 
 def units(found: DataFrame, percent: int) -> DataFrame:
     """root, i, j, c: the classes of each pair of blocks of a component that may
     hold similar ones. ``found``: root, c, n, bits. Blocks are nodes of the
     component's tree, which Spark joins by size band and prunes by the bound."""
-    band = F.floor(F.log("n") / -math.log(percent / 100)).cast("int")
-    sized = found.withColumn("band", band)
+    whole = found.groupBy("root").agg(((F.count("*") <= BLOCK) & (F.sum("n") <= BLOCK_SHINGLES)).alias("whole"))
+    band = F.floor(F.log("n") / -math.log(percent / 100)).cast("int")  # a component that fits into one block is one
+    sized = found.join(staged(whole, "whole"), "root").withColumn("band", F.when(F.col("whole"), 0).otherwise(band))
     parts = sized.groupBy("root", "band").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
     dealt = (sized.join(staged(parts, "parts"), ["root", "band"])
              .withColumn("part", F.when(F.col("parts") == 1, 0).otherwise(F.pmod(F.xxhash64("c"), F.col("parts"))).cast("int")))
