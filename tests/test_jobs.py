@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import FIXTURES
+from fixture_paths import FIXTURES
 from valuekit.plans import analysis, foundation
 
 

@@ -5,7 +5,7 @@ built). File source in, memory sink out, one trigger."""
 import os
 import tempfile
 
-from conftest import FIXTURES
+from fixture_paths import FIXTURES
 from valuekit import schemas as K
 from valuekit.operators import clean as CL
 from valuekit.operators import metrics as M
