@@ -25,12 +25,40 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Words of 64 bits in a key filter: 64 million bits, a table of at most 16 MB.
+FILTER_WORDS = 1 << 20
+
+
+def _place(keys: Sequence[str], words: int) -> tuple[Column, Column]:
+    """Word and bit of a key in a key filter."""
+    h = F.xxhash64(*keys)
+    return F.pmod(h, F.lit(words)), F.pmod(F.xxhash64(h, F.lit(1)), F.lit(64)).cast("int")
+
+
+def key_filter(keyed: DataFrame, keys: Sequence[str], words: int = FILTER_WORDS) -> DataFrame:
+    """A Bloom filter of one hash over the keys as a table (word, bits) of at
+    most ``words`` rows, whatever the number of keys: bits are OR-ed before the
+    shuffle; keys with a NULL match nothing and are left out. With m different keys about m / (64 * words) of all others pass it
+    too."""
+    word, bit = _place(keys, words)
+    return (keyed.dropna(subset=list(keys)).select(word.alias("__word"), bit.alias("__bit"))
+            .groupBy("__word").agg(F.expr("bit_or(shiftleft(1L, __bit))").alias("__bits")))
+
+
+def split_by_filter(df: DataFrame, keys: Sequence[str], filter_table: DataFrame, words: int = FILTER_WORDS) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key may be in the filter, and rows whose key is not. The
+    filter is broadcast: its size has a fixed bound."""
+    word, bit = _place(keys, words)
+    marked = df.withColumns({"__word": word, "__bit": bit}).join(F.broadcast(filter_table), "__word", "left")
+    hit = F.coalesce(F.expr("(shiftright(__bits, __bit) & 1L) = 1"), F.lit(False))
+    return marked.filter(hit).select(*df.columns), marked.filter(~hit).select(*df.columns)
+
 
 def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: Iterable[str],
-                       salt_buckets: int = 1, dedupe_keys: bool = False) -> DataFrame:
+                       salt_buckets: int = 1, dedupe_keys: bool = False, filter_words: int = 0) -> DataFrame:
     """D4 (P8, P9, A2, J1/J2, U1).
 
     Keeps every row whose ``tag_col`` is in ``tags`` plus every row whose tag
@@ -43,6 +71,11 @@ def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: I
     other columns (deterministic, so a retried task sends rows to the same
     place), and the distinct key set is copied once per bucket with
     ``explode`` (a generator, not a join). The result is the same rows.
+
+    ``filter_words > 0`` builds a key filter of the tagged rows first: untagged
+    rows that it excludes, most of them where few keys have a tagged row, are kept
+    without a shuffle, and only the others go to the anti-join. It costs two
+    more scans of the narrow key columns and pays where shuffled bytes dominate.
     """
     keys = list(keys)
     is_tagged = F.col(tag_col).isin(list(tags))
@@ -50,7 +83,9 @@ def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: I
     tagged_keys = tagged.select(*keys)
     if dedupe_keys or salt_buckets > 1:
         tagged_keys = tagged_keys.distinct()
-    untagged = df.filter(~is_tagged)
+    untagged, certain = df.filter(~is_tagged), None
+    if filter_words:
+        untagged, certain = split_by_filter(untagged, keys, key_filter(tagged_keys, keys, filter_words), filter_words)
     if salt_buckets > 1:
         others = [c for c in df.columns if c not in keys] or keys
         untagged = untagged.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salt_buckets)).cast("int"))
@@ -58,7 +93,7 @@ def prefer_tagged_rows(df: DataFrame, keys: Sequence[str], tag_col: str, tags: I
         kept = untagged.join(tagged_keys, on=keys + ["__salt"], how="left_anti").drop("__salt")
     else:
         kept = untagged.join(tagged_keys, on=keys, how="left_anti")
-    return tagged.unionByName(kept)
+    return tagged.unionByName(kept) if certain is None else tagged.unionByName(certain).unionByName(kept)
 
 
 def consolidate(
