@@ -39,6 +39,17 @@ ADVANCED_COLUMNS = (
 )
 
 
+def first_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row a key, the least by the other columns in their order (NULL
+    first); a grouped minimum, so copies are combined before the shuffle. Rows
+    with a NULL in the key match nothing and stay out."""
+    rest = [c for c in df.columns if c not in keys]
+    whole = df.dropna(subset=list(keys))
+    if not rest:
+        return whole.distinct()
+    return whole.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("first")).select(*keys, "first.*").select(*df.columns)
+
+
 def unify(
     stats: DataFrame,
     advanced: DataFrame,
@@ -53,6 +64,8 @@ def unify(
     advanced_columns: Sequence[str] = ADVANCED_COLUMNS,
     cap_col: str = "league_salary_cap",
     standings_columns: Sequence[str] = ("wins", "losses", "win_pct"),
+    colocated: bool = False,
+    on_duplicate: str = "keep",
 ) -> DataFrame:
     """Five left joins onto the stats table, one row per stats row (more
     only where a right side repeats a key, as in the source).
@@ -63,18 +76,32 @@ def unify(
     the first one's partitioning could not be split). Stats rows with a NULL in
     the key match nothing: they go round that join instead of meeting in one
     partition. Output columns are projected in the source's order.
+
+    ``colocated``: stats, advanced and salaries are bucketed alike on that key
+    (``sources.layout``); then two left joins in a row need no shuffle at all.
+    ``on_duplicate="first"`` takes of each right side one row a key, the least by
+    its columns, so no stats row is multiplied.
     """
     ek, pk = entity_key, period_key
     adv = advanced.select(ek, pk, *advanced_columns)
     sal = salaries.drop(period_year)
+    caps, standings = caps.select(pk, cap_col), standings.select(period_year, group_key, *standings_columns)
+    if on_duplicate == "first":
+        adv, sal, profiles = first_by_key(adv, [ek, pk]), first_by_key(sal, [ek, pk]), first_by_key(profiles, [ek])
+        caps, standings = first_by_key(caps, [pk]), first_by_key(standings, [period_year, group_key])
+    elif on_duplicate != "keep":
+        raise ValueError(f"on_duplicate is keep or first, not {on_duplicate!r}")
     has_key = F.col(ek).isNotNull() & F.col(pk).isNotNull()
-    both = adv.filter(has_key).join(sal.filter(has_key), on=[ek, pk], how="full_outer")
-    wide = (stats.filter(has_key).join(both, on=[ek, pk], how="left")
-            .unionByName(stats.filter(~has_key), allowMissingColumns=True))
+    if colocated:
+        wide = stats.filter(has_key).join(adv.filter(has_key), on=[ek, pk], how="left").join(sal.filter(has_key), on=[ek, pk], how="left")
+    else:
+        both = adv.filter(has_key).join(sal.filter(has_key), on=[ek, pk], how="full_outer")
+        wide = stats.filter(has_key).join(both, on=[ek, pk], how="left")
+    wide = wide.unionByName(stats.filter(~has_key), allowMissingColumns=True)
     joined = (
         wide.join(profiles, on=ek, how="left")
-        .join(caps.select(pk, cap_col), on=pk, how="left")
-        .join(standings.select(period_year, group_key, *standings_columns), on=[period_year, group_key], how="left")
+        .join(caps, on=pk, how="left")
+        .join(standings, on=[period_year, group_key], how="left")
     )
     stats_rest = [c for c in stats.columns if c not in (period_year, group_key, pk, ek)]
     profile_rest = [c for c in profiles.columns if c != ek]

@@ -14,22 +14,23 @@ from pyspark.sql import functions as F
 from valuekit import schemas as K
 from valuekit.operators import lookup as L
 from valuekit.operators import metrics as M
+from valuekit.operators import quality as Q
 from valuekit.operators import rank as R
 from valuekit.operators.join import unify
 from valuekit.operators.rules import archetype_rules
 from valuekit.operators.tiers import tier_value_score
-from valuekit.sources import files
+from valuekit.sources import files, layout
 
 CLEANED = ("player_profiles", "nba_stats", "nba_advanced_player_stats", "nba_expanded_standings_2000_2026",
            "nba_salaries", "nba_salary_cap")
 
 
-def unify_cleaned(tables: dict) -> DataFrame:
+def unify_cleaned(tables: dict, **how) -> DataFrame:
     """D18 over the cleaned tables (after the two renames of the loader)."""
     sal = tables["nba_salaries"].withColumnRenamed("salary", "player_salary")
     cap = tables["nba_salary_cap"].withColumnRenamed("salary_cap", "league_salary_cap")
     return unify(tables["nba_stats"], tables["nba_advanced_player_stats"], tables["player_profiles"],
-                 sal, cap, tables["nba_expanded_standings_2000_2026"])
+                 sal, cap, tables["nba_expanded_standings_2000_2026"], **how)
 
 
 def write_counted(df: DataFrame, path: str, **kw) -> int:
@@ -39,9 +40,52 @@ def write_counted(df: DataFrame, path: str, **kw) -> int:
     return files.write_parquet_counted(df, path, name="rows_" + path.rstrip("/").rsplit("/", 1)[-1], **kw)
 
 
-def run_unify(spark: SparkSession, input_dir: str, output_path: str) -> int:
+#: Right sides of the unified table and the keys they are joined by.
+RIGHT_KEYS = {"nba_advanced_player_stats": ("player_id", "season"), "nba_salaries": ("player_id", "season"), "player_profiles": ("player_id",),
+              "nba_salary_cap": ("season",), "nba_expanded_standings_2000_2026": ("season_start_year", "team_name_abbr")}
+FACTS = ("nba_stats", "nba_advanced_player_stats", "nba_salaries")
+
+
+class DuplicateKeys(ValueError):
+    """A right side of the unified table repeats a key."""
+
+
+def bucket_facts(spark: SparkSession, tables: dict, prefix: str, path: str, buckets: int) -> dict:
+    """The cleaned tables with the three that are keyed by player and season
+    bucketed on that key, as catalog tables ``<prefix>_<name>``."""
+    return {name: layout.write_bucketed(df, f"{prefix}_{name}", f"{path.rstrip('/')}/{name}", ("player_id", "season"), buckets)
+            if name in FACTS else df for name, df in tables.items()}
+
+
+def right_key_report(tables: dict) -> DataFrame:
+    """D15, D16 of every right side by the key it is joined by."""
+    parts = [Q.key_profile(tables[name].dropna(subset=list(keys)), keys, name) for name, keys in RIGHT_KEYS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def run_unify(spark: SparkSession, input_dir: str, output_path: str, on_duplicate: str = "warn", table_prefix: str | None = None) -> int:
+    """D18. The right sides' keys are checked first (Q15); the report is written
+    to ``<output>_reports/right_keys``. ``on_duplicate``: warn (join as they are),
+    refuse (stop with DuplicateKeys) or first (one row a key). With
+    ``table_prefix`` the facts come from bucketed tables of that prefix, where all
+    three are there with the same buckets, else from the files."""
+    if on_duplicate not in ("warn", "refuse", "first"):
+        raise ValueError(f"on_duplicate is warn, refuse or first, not {on_duplicate!r}")
     tables = files.read_parquet_tables(spark, input_dir, CLEANED)
-    return write_counted(unify_cleaned(tables), output_path)
+    names = [f"{table_prefix}_{name}" for name in FACTS]
+    together = table_prefix is not None and layout.colocated(spark, names, ("player_id", "season"))
+    if together:
+        tables.update({name: spark.table(f"{table_prefix}_{name}") for name in FACTS})
+    reports = f"{output_path.rstrip('/')}_reports/right_keys"
+    files.write_parquet(right_key_report(tables), reports, n_files=1)
+    repeated = spark.read.parquet(reports).filter("item = 'keys_with_duplicates' AND value > 0").collect()  # one row a table at most
+    if repeated and on_duplicate == "refuse":
+        raise DuplicateKeys("; ".join(f"{r.table_name}: {r.value} keys occur more than once" for r in repeated))
+    how = {"on_duplicate": "first"} if on_duplicate == "first" else {}
+    return write_counted(unify_cleaned(tables, colocated=together, **how), output_path)
 
 
 def composite_value_rows(unified: DataFrame, min_games: int = 20, min_minutes: int = 200,

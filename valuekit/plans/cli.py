@@ -28,6 +28,9 @@ def main(argv=None) -> None:
     p.add_argument("--files", type=int, default=None, help="bound the number of output files")
     p.add_argument("--salt-buckets", type=int, default=1,
                    help="foundation: spread hot (player, season) keys over this many join partitions")
+    p.add_argument("--on-duplicate", choices=["warn", "refuse", "first"], default="warn",
+                   help="unify: what to do where a right side repeats a key")
+    p.add_argument("--table-prefix", default=None, help="unify: read the facts from bucketed catalog tables of this prefix")
     p.add_argument("--local", action="store_true")
     p.add_argument("--no-sizing", action="store_true", help="keep the session's shuffle settings as they are")
     a = p.parse_args(argv)
@@ -45,7 +48,7 @@ def main(argv=None) -> None:
     elif a.job == "foundation":
         foundation.run_foundation(spark, a.input, a.output, salt_buckets=a.salt_buckets).show(truncate=False)
     elif a.job == "unify":
-        print(f"rows written: {analysis.run_unify(spark, a.input, a.output)}")
+        print(f"rows written: {analysis.run_unify(spark, a.input, a.output, a.on_duplicate, a.table_prefix)}")
     elif a.job == "composite":
         print(f"rows written: {analysis.run_composite(spark, a.input, a.output, n_files=a.files)}")
     elif a.job == "archetypes":
