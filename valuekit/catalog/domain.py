@@ -21,6 +21,8 @@ from valuekit.operators import metrics as M
 from valuekit.operators import quality as Q
 from valuekit.operators import rank as R
 from valuekit.plans import analysis, foundation
+from valuekit.session import scratch_path
+from valuekit.sources.publish import publish, read_published
 
 TEAMS = sorted(set(K.TEAM_CODES.values()))[:30]
 NAMES = {v: k for k, v in K.TEAM_CODES.items()}
@@ -43,8 +45,10 @@ def _season(pk: Column, y: Column) -> Column:
             .when(pk % 10 == 0, F.concat(_label(y), F.lit("\r"))).otherwise(_label(y)))
 
 
-def _player(pk: Column) -> Column:
-    return F.when(pk % 41 == 0, F.lit(None)).otherwise(F.concat(F.lit("p"), pk.cast("string")))
+def _player(pk: Column, missing: Column | None = None) -> Column:
+    """Where ``missing``, an id that no stats row has: a gap in the table."""
+    letter = F.lit("p") if missing is None else F.when(missing, F.lit("q")).otherwise(F.lit("p"))
+    return F.when(pk % 41 == 0, F.lit(None)).otherwise(F.concat(letter, pk.cast("string")))
 
 
 def _share(x: Column, mod: int, by: float) -> Column:
@@ -63,10 +67,15 @@ def _per_team(spark: SparkSession, d: str) -> DataFrame:
 COUNTS = ("games", "mp", "pts", "trb", "ast", "stl", "blk", "tov")
 
 
-def _rows(spark: SparkSession, d: str) -> DataFrame:
+def _rows(spark: SparkSession, d: str, base: dict | None = None) -> DataFrame:
     """One row per player, season and team, and one for all teams of a player
     with several."""
-    per_team = _per_team(spark, d)
+    if base:
+        return base["rows"]
+    return _rows_of(_per_team(spark, d))
+
+
+def _rows_of(per_team: DataFrame) -> DataFrame:
     single = per_team.withColumn("team_name_abbr", F.when(c("pk") % 29 == 0, F.lit(None)).otherwise(_pick(TEAMS, c("t")))).drop("t")
     several = (per_team.groupBy("pk", "y").agg(F.count("*").alias("n"), *[F.sum(s).cast("int").alias(s) for s in COUNTS])
                .filter("n > 1").withColumn("team_name_abbr", F.concat(F.when(c("pk") % 7 == 0, F.least("n", F.lit(5)))
@@ -74,9 +83,9 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
     return single.unionByName(several)
 
 
-def raw_stats(spark: SparkSession, d: str) -> DataFrame:
+def raw_stats(spark: SparkSession, d: str, base: dict | None = None) -> DataFrame:
     half = lambda x, n: F.floor(c(x) / n).cast("int")
-    return _rows(spark, d).select(
+    return _rows(spark, d, base).select(
         _player(c("pk")).alias("player_id"), _season(c("pk"), c("y")).alias("season"), (20 + c("pk") % 15).cast("int").alias("age"),
         "team_name_abbr", F.lit("NBA").alias("comp_name_abbr"), _pick(POSITIONS, c("pk")).alias("pos"), "games",
         half("games", 2).alias("games_started"), "mp", half("pts", 2).alias("fg"), c("pts").alias("fga"),
@@ -87,16 +96,15 @@ def raw_stats(spark: SparkSession, d: str) -> DataFrame:
         "trb", "ast", "stl", "blk", "tov", half("games", 3).alias("pf"), "pts")
 
 
-def raw_advanced(spark: SparkSession, d: str) -> DataFrame:
-    """Without every fifth player-season; some rows twice, the second time with
+def raw_advanced(spark: SparkSession, d: str, base: dict | None = None) -> DataFrame:
+    """Without every fifth player-season (their ids are others); some rows twice, the second time with
     another rating; some ratings NULL, NaN or out of range."""
     pk, y = c("pk"), c("y")
-    rows = _rows(spark, d).filter((pk + y) % 5 != 0)
-    rows = rows.withColumn("copy", F.explode(F.when((pk + y) % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    rows = _rows(spark, d, base).withColumn("copy", F.explode(F.when((pk + y) % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     bpm = (F.when(pk % 23 == 0, F.lit(None)).when(pk % 31 == 0, F.lit(float("nan")))
            .otherwise((c("pts") % 1200 - 600) / 10.0).cast("float"))
     return rows.select(
-        _player(pk).alias("player_id"), _season(pk, y).alias("season"), (20 + pk % 15).cast("int").alias("age"), "team_name_abbr",
+        _player(pk, (pk + y) % 5 == 0).alias("player_id"), _season(pk, y).alias("season"), (20 + pk % 15).cast("int").alias("age"), "team_name_abbr",
         _pick(POSITIONS, pk).alias("pos"), c("games").alias("g"), "mp", _share(c("mp") + c("copy"), 300, 10.0).alias("per"),
         ((50 + c("games") % 60) / 100.0).cast("float").alias("ts_pct"), _share(c("ast"), 60, 50.0).alias("fg3a_per_fga_pct"),
         F.lit(0.25).cast("float").alias("fta_per_fga_pct"), _share(c("trb"), 12, 1.0).alias("orb_pct"), F.lit(15.0).cast("float").alias("drb_pct"),
@@ -108,32 +116,33 @@ def raw_advanced(spark: SparkSession, d: str) -> DataFrame:
         bpm.alias("bpm"), ((c("ast") % 70 - 10) / 10.0).cast("float").alias("vorp"))
 
 
-def raw_salaries(spark: SparkSession, d: str) -> DataFrame:
+def raw_salaries(spark: SparkSession, d: str, base: dict | None = None) -> DataFrame:
     pk, y = c("pk"), c("y")
     amount = (1_000_000 + (c("pts") * 7919) % 40_000_000).cast("string")
     text = (F.when(pk % 7 == 0, F.concat(amount, F.lit(" (TW)"))).when(pk % 11 == 0, F.lit("< Minimum"))
             .when(pk % 13 == 0, F.concat(F.lit(" "), amount, F.lit(" < Minimum"))).when(pk % 17 == 0, F.concat(F.lit("$"), amount))
             .when(pk % 19 == 0, F.concat(amount, F.lit("\x7f"))).when(pk % 23 == 0, F.concat(amount, F.lit(".0\r")))
-            .when(pk % 27 == 0, F.lit("0")).when(pk % 29 == 0, F.lit(None)).otherwise(amount))
-    return _per_team(spark, d).filter((pk + 2 * y) % 6 != 0).select(
-        _player(pk).alias("player_id"), _season(pk, y).alias("season"),
+            .when(pk % 25 == 0, F.concat(amount, F.lit("\x85"))).when(pk % 27 == 0, F.lit("0")).when(pk % 29 == 0, F.lit(None)).otherwise(amount))
+    return (base["per_team"] if base else _per_team(spark, d)).select(
+        _player(pk, (pk + 2 * y) % 6 == 0).alias("player_id"), _season(pk, y).alias("season"),
         F.when(pk % 33 == 0, F.lit(None)).otherwise(_pick(TEAMS, c("t"))).alias("team"), text.alias("salary"))
 
 
 def raw_caps(spark: SparkSession, d: str) -> DataFrame:
     """One year without a cap, one with a cap of 0, one twice."""
     y = c("y")
-    years = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("y")).distinct().filter("y <> 1996")
+    years = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("y")).distinct()
+    years = years.withColumn("y", F.when(y == 1996, F.lit(2096)).otherwise(y))
     years = years.withColumn("copy", F.explode(F.when(y == 1997, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     return years.select(F.when(y % 2 == 0, F.concat(_label(y), F.lit("\r"))).otherwise(_label(y)).alias("season"),
                         F.when(y == 1995, F.lit(0)).otherwise(90_000_000 + 3_000_000 * (y - 1990) + c("copy")).cast("int").alias("salary_cap"))
 
 
-def raw_standings(spark: SparkSession, d: str) -> DataFrame:
+def raw_standings(spark: SparkSession, d: str, base: dict | None = None) -> DataFrame:
     team = _pick([NAMES[code] for code in TEAMS], c("t"))
-    return (_per_team(spark, d).filter("t <> 7").groupBy("y", "t").agg(F.sum("stl").alias("w"), F.sum("blk").alias("l"))
+    return ((base["per_team"] if base else _per_team(spark, d)).groupBy("y", "t").agg(F.sum("stl").alias("w"), F.sum("blk").alias("l"))
             .select(F.when(c("t") == 3, F.lit("")).otherwise(_label(c("y"))).alias("season"),
-                    F.when(c("t") == 5, F.lit("Unknown Team")).when(c("t") == 6, F.lit(None)).otherwise(team).alias("team"),
+                    F.when(c("t").isin(5, 7), F.lit("Unknown Team")).when(c("t") == 6, F.lit(None)).otherwise(team).alias("team"),
                     F.when(c("t") == 8, F.lit("0-0")).when(c("t") == 9, F.lit("none"))
                     .otherwise(F.concat(c("w").cast("string"), F.lit("-"), c("l").cast("string"), F.lit("\r"))).alias("overall")))
 
@@ -141,8 +150,8 @@ def raw_standings(spark: SparkSession, d: str) -> DataFrame:
 def raw_profiles(spark: SparkSession, d: str) -> DataFrame:
     pk = c("p_partkey")
     gap = lambda n, x: F.when(pk % n == 0, F.lit(None)).otherwise(x)
-    return table(spark, d, "part").filter(pk % 9 != 0).select(
-        F.when(pk % 47 == 0, F.lit("")).otherwise(_player(pk)).alias("player_id"), c("p_name").alias("name"),
+    return table(spark, d, "part").select(
+        F.when(pk % 47 == 0, F.lit("")).otherwise(_player(pk, pk % 9 == 0)).alias("player_id"), c("p_name").alias("name"),
         gap(5, c("p_brand")).alias("college"), gap(4, (1980 + pk % 40).cast("float")).alias("draft_year"),
         gap(6, (1 + pk % 2).cast("float")).alias("draft_round"), (1 + pk % 60).cast("float").alias("draft_pick"),
         (70 + c("p_size") % 20).cast("int").alias("height"), (180 + c("p_size")).cast("int").alias("weight"),
@@ -150,10 +159,19 @@ def raw_profiles(spark: SparkSession, d: str) -> DataFrame:
         (pk % 3).cast("int").alias("all_nba_appearances"))
 
 
+def _staged(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    tables, _, _ = foundation.stage_raw(spark, {name: df}, (name,))
+    return tables[name]
+
+
 def raw_tables(spark: SparkSession, d: str) -> dict:
-    return {"player_profiles": raw_profiles(spark, d), "nba_stats": raw_stats(spark, d), "nba_salaries": raw_salaries(spark, d),
-            "nba_salary_cap": raw_caps(spark, d), "nba_advanced_player_stats": raw_advanced(spark, d),
-            "nba_expanded_standings_2000_2026": raw_standings(spark, d)}
+    """All six; what they have in common is derived once, into the shared
+    scratch folder, instead of once for every use of a table."""
+    per_team = _staged(spark, "per_team", _per_team(spark, d))
+    base = {"per_team": per_team, "rows": _staged(spark, "team_rows", _rows_of(per_team))}
+    return {"player_profiles": raw_profiles(spark, d), "nba_stats": raw_stats(spark, d, base), "nba_salaries": raw_salaries(spark, d, base),
+            "nba_salary_cap": raw_caps(spark, d), "nba_advanced_player_stats": raw_advanced(spark, d, base),
+            "nba_expanded_standings_2000_2026": raw_standings(spark, d, base)}
 
 
 def cleaned(spark: SparkSession, d: str) -> dict:
@@ -252,7 +270,43 @@ def q41_player_history(spark: SparkSession, d: str) -> DataFrame:
 
 HISTORY_PLAYER = "p14"
 
+def q43_unify_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """D18 over bucketed facts: no shuffle for the joins by player and season."""
+    path, buckets = scratch_path(spark, "bucketed"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prefix = "facts_" + path.rsplit("-", 1)[1]
+    return analysis.unify_cleaned(analysis.bucket_facts(spark, cleaned(spark, d), prefix, path, buckets), colocated=True)
+
+
+def q44_unify_first(spark: SparkSession, d: str) -> DataFrame:
+    """D18 with D16 obeyed: of each right side one row a key."""
+    return analysis.unify_cleaned(cleaned(spark, d), on_duplicate="first")
+
+
+def q45_rollup_states(spark: SparkSession, d: str) -> DataFrame:
+    """A4, A5, D33 in two steps: states of each half of the rows are stored, read
+    again and merged; the median is held against exact ranks."""
+    players = _staged(spark, "players", q37_archetype_players(spark, d))
+    half = F.pmod(F.xxhash64("player_id"), F.lit(2)) == 0
+    parts = [_staged(spark, f"states{i}", R.rollup_states(players.filter(own))) for i, own in enumerate((half, ~F.coalesce(half, F.lit(False))))]
+    rollup = R.rollup_from_states(parts[0].unionByName(parts[1]))
+    checked = R.median_rank_check(players, rollup)
+    keys = ["season", "season_start_year", "archetype"]
+    return _round(rollup.join(checked, keys).drop("median_cost_per_ws"), ROLLUP_DIGITS)
+
+
+def q46_published_seasons(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaned caps and standings of all seasons are published, then
+    those of the even years again with their wins doubled."""
+    path = scratch_path(spark, "published")
+    rows = _staged(spark, "standings", cleaned(spark, d)["nba_expanded_standings_2000_2026"].select("season", "team", "wins", "losses", "season_start_year"))
+    publish(rows, path, ["season_start_year"])
+    again = rows.withColumn("wins", F.when(c("season_start_year") % 2 == 0, c("wins") * 2))
+    publish(again.filter(c("season_start_year") % 2 == 0), path, ["season_start_year"])
+    return read_published(spark, path).select(*rows.columns)
+
+
 QUERIES = {f.__name__: f for f in (
+    q43_unify_bucketed, q44_unify_first, q45_rollup_states, q46_published_seasons,
     q12_unify, q29_clean_profiles, q30_clean_stats, q31_clean_salaries, q32_clean_advanced, q33_clean_standings, q34_clean_caps,
     q35_foundation_report, q36_composite_table, q37_archetype_players, q38_archetype_rollup, q39_archetype_top, q40_tier_table,
     q41_player_history)}

@@ -26,6 +26,13 @@ def bounded(col: str, lo: str, hi: str) -> str:
 
 
 PLAYER = "CASE WHEN pk % 41 = 0 THEN NULL ELSE concat('p', pk) END AS player_id"
+
+
+def player(missing: str) -> str:
+    """The id, another one where the table has a gap."""
+    return f"CASE WHEN pk % 41 = 0 THEN NULL ELSE concat(CASE WHEN {missing} THEN 'q' ELSE 'p' END, pk) END AS player_id"
+
+
 SEASON = f"""CASE (pk + y) % 37 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'N/A' WHEN 3 THEN '0'
     ELSE {season_label('y')} END AS season"""
 
@@ -66,7 +73,7 @@ stats AS (
   FROM chosen_stats)"""
 
 ADVANCED = f"""raw_advanced AS (
-  SELECT {PLAYER}, {SEASON}, CAST(20 + pk % 15 AS INT) AS age, team_name_abbr, {POSITION_LIST}[pk % 8 + 1] AS pos, games AS g, mp,
+  SELECT {player('(pk + y) % 5 = 0')}, {SEASON}, CAST(20 + pk % 15 AS INT) AS age, team_name_abbr, {POSITION_LIST}[pk % 8 + 1] AS pos, games AS g, mp,
     {part_of('mp + again', 300, 10)} AS per, CAST((50 + games % 60) / CAST(100 AS DOUBLE) AS FLOAT) AS ts_pct,
     {part_of('ast', 60, 50)} AS fg3a_per_fga_pct, CAST(0.25 AS FLOAT) AS fta_per_fga_pct, {part_of('trb', 12, 1)} AS orb_pct,
     CAST(15 AS FLOAT) AS drb_pct, CAST(10 AS FLOAT) AS trb_pct, {part_of('pts', 120, 1)} AS ast_pct, CAST(1.5 AS FLOAT) AS stl_pct,
@@ -76,7 +83,7 @@ ADVANCED = f"""raw_advanced AS (
     CASE WHEN pk % 23 = 0 THEN NULL WHEN pk % 31 = 0 THEN CAST('nan' AS FLOAT)
       ELSE CAST((pts % 1200 - 600) / CAST(10 AS DOUBLE) AS FLOAT) END AS bpm,
     CAST((ast % 70 - 10) / CAST(10 AS DOUBLE) AS FLOAT) AS vorp
-  FROM (SELECT *, unnest(CASE WHEN (pk + y) % 17 = 0 THEN [0, 1] ELSE [0] END) AS again FROM lines WHERE (pk + y) % 5 <> 0)),
+  FROM (SELECT *, unnest(CASE WHEN (pk + y) % 17 = 0 THEN [0, 1] ELSE [0] END) AS again FROM lines)),
 season_advanced AS (SELECT * FROM raw_advanced WHERE season IS NOT NULL AND season NOT IN ('', 'N/A', '0')),
 chosen_advanced AS (
   SELECT * FROM season_advanced WHERE team_name_abbr IN ('2TM', '3TM', '4TM')
@@ -93,14 +100,14 @@ advanced AS (
 CAPS = f"""caps AS (
   SELECT season, CAST(CASE WHEN y = 1995 THEN 0 ELSE 90000000 + 3000000 * (y - 1990) + again END AS INT) AS salary_cap, y AS season_start_year
   FROM (SELECT y, {season_label('y')} AS season, unnest(CASE WHEN y = 1997 THEN [0, 1] ELSE [0] END) AS again
-        FROM (SELECT DISTINCT CAST(year(l_shipdate) AS INT) AS y FROM lineitem) WHERE y <> 1996))"""
+        FROM (SELECT DISTINCT CAST(CASE WHEN year(l_shipdate) = 1996 THEN 2096 ELSE year(l_shipdate) END AS INT) AS y FROM lineitem)))"""
 
 SALARIES = f"""raw_salaries AS (
-  SELECT {PLAYER}, {SEASON}, CASE WHEN pk % 33 = 0 THEN NULL ELSE {CODE_LIST}[t + 1] END AS team,
+  SELECT {player('(pk + 2 * y) % 6 = 0')}, {SEASON}, CASE WHEN pk % 33 = 0 THEN NULL ELSE {CODE_LIST}[t + 1] END AS team,
     CASE WHEN pk % 7 = 0 THEN concat(n, ' (TW)') WHEN pk % 11 = 0 THEN '< Minimum' WHEN pk % 13 = 0 THEN concat(' ', n, ' < Minimum')
       WHEN pk % 17 = 0 THEN concat('$', n) WHEN pk % 19 = 0 THEN concat(n, chr(127)) WHEN pk % 23 = 0 THEN concat(n, '.0')
-      WHEN pk % 27 = 0 THEN '0' WHEN pk % 29 = 0 THEN NULL ELSE n END AS txt
-  FROM (SELECT *, CAST(1000000 + (pts * 7919) % 40000000 AS VARCHAR) AS n FROM team_year WHERE (pk + 2 * y) % 6 <> 0)),
+      WHEN pk % 25 = 0 THEN concat(n, chr(133)) WHEN pk % 27 = 0 THEN '0' WHEN pk % 29 = 0 THEN NULL ELSE n END AS txt
+  FROM (SELECT *, CAST(1000000 + (pts * 7919) % 40000000 AS VARCHAR) AS n FROM team_year)),
 amounts AS (
   SELECT player_id, season, team, contains(txt, '(TW)') AS is_two_way, contains(txt, '< Minimum') AS is_sub_minimum,
     trim(replace(replace(txt, '(TW)', ''), '< Minimum', '')) AS s
@@ -118,9 +125,9 @@ salaries AS (
 
 STANDINGS = f"""raw_standings AS (
   SELECT CASE WHEN t = 3 THEN '' ELSE {season_label('y')} END AS season,
-    CASE t WHEN 5 THEN 'Unknown Team' WHEN 6 THEN NULL ELSE {NAME_LIST}[t + 1] END AS team,
+    CASE t WHEN 5 THEN 'Unknown Team' WHEN 7 THEN 'Unknown Team' WHEN 6 THEN NULL ELSE {NAME_LIST}[t + 1] END AS team,
     CASE t WHEN 8 THEN '0-0' WHEN 9 THEN 'none' ELSE concat(sum(stl), '-', sum(blk)) END AS overall
-  FROM team_year WHERE t <> 7 GROUP BY y, t),
+  FROM team_year GROUP BY y, t),
 records AS (
   SELECT *, {sql_text_to_integer("string_split(overall, '-')[1]", 'INT')} AS wins,
     {sql_text_to_integer("string_split(overall, '-')[2]", 'INT')} AS losses
@@ -131,12 +138,13 @@ standings AS (
   FROM records)"""
 
 PROFILES = """raw_profiles AS (
-  SELECT CASE WHEN pk % 47 = 0 THEN '' WHEN pk % 41 = 0 THEN NULL ELSE concat('p', pk) END AS player_id, p_name AS name,
+  SELECT CASE WHEN pk % 47 = 0 THEN '' WHEN pk % 41 = 0 THEN NULL WHEN pk % 9 = 0 THEN concat('q', pk)
+      ELSE concat('p', pk) END AS player_id, p_name AS name,
     CASE WHEN pk % 5 <> 0 THEN p_brand END AS college, CASE WHEN pk % 4 <> 0 THEN CAST(1980 + pk % 40 AS INT) END AS draft_year,
     CASE WHEN pk % 6 <> 0 THEN CAST(1 + pk % 2 AS INT) END AS draft_round, CAST(1 + pk % 60 AS INT) AS draft_pick,
     CAST(70 + p_size % 20 AS INT) AS height, CAST(180 + p_size AS INT) AS weight, 'USA' AS country,
     CASE WHEN pk % 8 <> 0 THEN CAST(1981 + pk % 40 AS INT) END AS nba_debut_year, CAST(pk % 3 AS INT) AS all_nba_appearances
-  FROM (SELECT *, p_partkey AS pk FROM part) WHERE pk % 9 <> 0),
+  FROM (SELECT *, p_partkey AS pk FROM part)),
 profiles AS (
   SELECT * REPLACE (coalesce(college, 'None') AS college, coalesce(draft_year, -1) AS draft_year, coalesce(draft_round, -1) AS draft_round,
     coalesce(nba_debut_year, -1) AS nba_debut_year), draft_year IS NOT NULL AS is_drafted
@@ -244,6 +252,24 @@ FROM players GROUP BY season, season_start_year, archetype""",
 SELECT * FROM (
   SELECT {PLAYER_LIST}, CAST(rank() OVER (PARTITION BY season, archetype ORDER BY value_score DESC NULLS LAST) AS INT) AS archetype_rank
   FROM players) WHERE archetype_rank <= 5""",
-    "q40_tier_table": TIERED + "\nSELECT " + ", ".join(f"round({x}, 6) AS {x}" if x in ROUNDED else x for x in K.TIER_COLUMNS) + " FROM tiers",
+    "q40_tier_table": TIERED + "\nSELECT " + ", ".join(f"round({x}, 6) + 0.0 AS {x}" if x in ROUNDED else x for x in K.TIER_COLUMNS) + " FROM tiers",
     "q41_player_history": SCORED + "\nSELECT player_id, season, composite_value_score FROM valued WHERE player_id = 'p14' OR name = 'p14'",
 }
+
+
+def one_row(table: str, keys: str, columns: str) -> str:
+    """The least row of each key."""
+    order = ", ".join(f"{x} NULLS FIRST" for x in columns.split(", "))
+    return f"(SELECT * FROM {table} QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1)"
+
+
+ORACLE["q43_unify_bucketed"] = ORACLE["q12_unify"]
+ORACLE["q44_unify_first"] = (ORACLE["q12_unify"].replace("LEFT JOIN advanced a", "LEFT JOIN " + one_row("advanced", "player_id, season", ADVANCED_TAKEN) + " a")
+                             .replace("LEFT JOIN caps c ON c.season = s.season", "LEFT JOIN " + one_row("caps", "season", "salary_cap") + " c ON c.season = s.season")
+                             .replace("LEFT JOIN salaries m", "LEFT JOIN " + one_row("salaries", "player_id, season", "salary, teams, is_two_way, is_sub_minimum, salary_cap") + " m")
+                             .replace("LEFT JOIN standings w", "LEFT JOIN " + one_row("standings", "season_start_year, team_name_abbr", "wins, losses, win_pct") + " w"))
+ORACLE["q45_rollup_states"] = ORACLE["q38_archetype_rollup"].replace("SELECT season, season_start_year, archetype, count(*) AS player_count",
+                                                                     "SELECT season, season_start_year, archetype, count(cost_per_ws) AS n_costs, TRUE AS median_in_bounds, "
+                                                                     "count(*) AS player_count")
+ORACLE["q46_published_seasons"] = f"""WITH {BASE}, {STANDINGS}
+SELECT season, team, CASE WHEN season_start_year % 2 = 0 THEN wins * 2 ELSE wins END AS wins, losses, season_start_year FROM standings"""

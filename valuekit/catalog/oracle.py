@@ -186,12 +186,12 @@ FROM p WHERE amount IS NOT NULL""",
 WITH r AS (
   SELECT l_orderkey, max(l_linestatus) AS college, CAST(avg(l_quantity) AS FLOAT) AS draft_year,
     CAST(max(l_linenumber) AS FLOAT) AS draft_pick
-  FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 3 <> 0),
+  FROM lineitem GROUP BY l_orderkey),
 j AS (
   SELECT o_orderkey, coalesce(college, 'None') AS college,
     CAST(trunc(coalesce(draft_year, CAST(-1.0 AS FLOAT))) AS INT) AS draft_year,
     CAST(trunc(coalesce(draft_pick, CAST(-1.0 AS FLOAT))) AS INT) AS draft_pick
-  FROM orders LEFT JOIN r ON o_orderkey = l_orderkey)
+  FROM orders LEFT JOIN r ON o_orderkey = CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END)
 SELECT o_orderkey, college, draft_year, draft_pick, CASE WHEN draft_year = -1 THEN false ELSE true END AS is_drafted
 FROM j""",
 
@@ -388,3 +388,5 @@ FROM cvs3 GROUP BY team_name_abbr, season""",
     "q28_partitioned_sink": "WITH " + METRICS_CTE + """
 SELECT player_id, season, season_start_year, archetype, value_score, cost_per_ws FROM pm""",
 }
+
+ORACLE["q42_prefer_aggregate_filtered"] = ORACLE["q05_prefer_aggregate"]

@@ -23,7 +23,7 @@ from valuekit.operators import lookup as L
 from valuekit.operators import metrics as M
 from valuekit.operators import quality as Q
 from valuekit.operators import rank as R
-from valuekit.operators.dedupe import consolidate, prefer_tagged_rows
+from valuekit.operators.dedupe import FILTER_WORDS, consolidate, prefer_tagged_rows
 from valuekit.operators.join import normalize_to_cap
 from valuekit.operators.rules import archetype_rules
 from valuekit.operators.tiers import assign_tiers, tier_value_score
@@ -103,13 +103,14 @@ def q02_key_sentinel_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q03_fill_and_flag(spark: SparkSession, d: str) -> DataFrame:
-    """Orders left-joined to the line summary of two orders in
-    three (the others have none); gaps
-    filled with defaults, floats truncated to int, a drafted-style flag."""
+    """Orders left-joined to the line summary, whose key is moved
+    away for one order in three; gaps filled with defaults, floats truncated to
+    int, a drafted-style flag."""
     ret = (table(spark, d, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_linestatus").alias("college"),
         F.avg("l_quantity").cast("float").alias("draft_year"),
-        F.max("l_linenumber").cast("float").alias("draft_pick")).filter(F.col("l_orderkey") % 3 != 0))
+        F.max("l_linenumber").cast("float").alias("draft_pick"))
+        .withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_orderkey")).otherwise(-F.col("l_orderkey") - 1)))
     o = table(spark, d, "orders").select("o_orderkey")
     rows = o.join(ret, o.o_orderkey == ret.l_orderkey, "left").drop("l_orderkey")
     rows = CL.fill_defaults(rows, {"college": "None", "draft_year": -1.0, "draft_pick": -1.0})
@@ -140,6 +141,12 @@ def q05_prefer_aggregate(spark: SparkSession, d: str) -> DataFrame:
     return prefer_tagged_rows(li, ["l_orderkey", "l_linenumber"], "l_returnflag", ["A"])
 
 
+def q42_prefer_aggregate_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """D4 (J1, J2) with a key filter before the anti-join: the rows of q05."""
+    li = table(spark, d, "lineitem").select(*LINEITEM_COLS)
+    return prefer_tagged_rows(li, ["l_orderkey", "l_linenumber"], "l_returnflag", ["A"], filter_words=FILTER_WORDS)
+
+
 def q06_rates(spark: SparkSession, d: str) -> DataFrame:
     """Per-game (2 digits) and per-minute (4 digits) rates."""
     df = M.per_minute_rates(M.per_game_rates(supplier_seasons(spark, d)))
