@@ -41,7 +41,7 @@ def test_pruned_pairs_are_below_the_similarity():
             for _ in range(70)] + [np.unique(rng.integers(0, 2**63, rng.integers(1, 400)).astype(np.uint64)) for _ in range(70)]
     sets.sort(key=len)
     n = np.array([len(s) for s in sets])
-    label = sigtree.groups(n, n, np.stack([sigtree.bitmap(s) for s in sets]), 85)
+    label = sigtree.groups(n, n, n, np.stack([sigtree.bitmap(s) for s in sets]), 85)
     linked = [(i, j) for i in range(140) for j in range(i) if 185 * len(np.intersect1d(sets[i], sets[j])) >= 85 * (n[i] + n[j])]
     assert linked and all(label[i] == label[j] for i, j in linked)
     assert len(set(label.tolist())) > 60

@@ -103,17 +103,19 @@ class Tree:
         return ((100 + percent) * most >= need(lo[a], lo[b], percent)) & (100 * hi[a] >= percent * lo[b])
 
 
-def similar_pairs(n: np.ndarray, rest: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+def similar_pairs(n: np.ndarray, rest: np.ndarray, most: np.ndarray, bits: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of classes (the smaller one first) may be similar enough."""
     x, y = bits[a], bits[b]
     loss = np.minimum(n[a] - np.bitwise_count(x).sum(1, dtype=np.int64), n[b] - np.bitwise_count(y).sum(1, dtype=np.int64))
-    most = np.minimum(loss + np.bitwise_count(x & y).sum(1, dtype=np.int64), np.minimum(rest[a], rest[b]))
-    return ((100 + percent) * most >= need(n[a], n[b], percent)) & (100 * n[a] >= percent * n[b])
+    shared = np.minimum(loss + np.bitwise_count(x & y).sum(1, dtype=np.int64), np.minimum(rest[a], rest[b]))
+    shared = np.minimum(shared, np.maximum(most[a], most[b]))
+    return ((100 + percent) * shared >= need(n[a], n[b], percent)) & (100 * n[a] >= percent * n[b])
 
 
-def groups(n: np.ndarray, rest: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+def groups(n: np.ndarray, rest: np.ndarray, most: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
     """A label for each class; classes that may be similar, by dual traversal,
-    get one. ``rest``: size less the place of the shared shingle."""
+    get one. ``rest``: what a class can share by the place of the shingle,
+    ``most``: by its count of shared first shingles; of a pair, the larger holds."""
     tree, label = Tree(n, bits), np.arange(len(n))
     stack = [(len(tree.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
@@ -137,7 +139,7 @@ def groups(n: np.ndarray, rest: np.ndarray, bits: np.ndarray, percent: int) -> n
         keep = tree.possible(level, a, b, percent)
         a, b = a[keep], b[keep]
         if level == 0:
-            keep = (100 + percent) * np.minimum(rest[a], rest[b]) >= need(n[a], n[b], percent)
+            keep = (100 + percent) * np.minimum(np.minimum(rest[a], rest[b]), np.maximum(most[a], most[b])) >= need(n[a], n[b], percent)
             for x, y in zip(a[keep].tolist(), b[keep].tolist()):
                 p, q = label[x], label[y]
                 if p != q:
@@ -194,25 +196,25 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def forest_ties(lists: DataFrame, percent: int) -> DataFrame:
-    """u, v: ties of classes that may be similar, from rows (s, n, c, i, bits):
-    the trees of the shingles s."""
+    """u, v: ties of classes that may be similar, from rows (s, n, c, i, most,
+    bits): the trees of the shingles s. ``most``: what a class can share at all."""
     def run(batches):
         held = None
 
-        def tied(n, c, i, bits):
-            label = groups(n, n - i, bits, percent) if len(n) > 1 else np.zeros(1, np.int64)
+        def tied(n, c, i, most, bits):
+            label = groups(n, n - i, most, bits, percent) if len(n) > 1 else np.zeros(1, np.int64)
             away = label != np.arange(len(n))
             return c[away], c[label[away]]
 
         for batch in batches:
             cols = [batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64), batch.column(2).to_numpy(),
-                    batch.column(3).to_numpy().astype(np.int64), batch.column(4).flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)]
+                    batch.column(3).to_numpy().astype(np.int64), batch.column(4).to_numpy(), batch.column(5).flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
             s, rest = cols[0], cols[1:]
             edge = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1, [len(s)]]) if len(s) else np.zeros(1, np.int64)
             a = edge[:-2][np.diff(edge[:-1]) == 2]  # lists of two classes, which most are, at once
-            a = a[similar_pairs(rest[0], rest[0] - rest[2], rest[3], a, a + 1, percent)] if len(a) else a
+            a = a[similar_pairs(rest[0], rest[0] - rest[2], rest[3], rest[4], a, a + 1, percent)] if len(a) else a
             u, v = [rest[1][a + 1]], [rest[1][a]]
             longer = np.flatnonzero(np.diff(edge[:-1]) > 2)
             for lo, hi in zip(edge[longer].tolist(), edge[longer + 1].tolist()):
@@ -236,7 +238,7 @@ def forest_ties(lists: DataFrame, percent: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return (lists.repartition(partitions_for(lists.sparkSession), "s").sortWithinPartitions("s", "n", "c")
-            .select("s", "n", "c", "i", "bits").mapInArrow(run, "u long, v long"))
+            .select("s", "n", "c", "i", "most", "bits").mapInArrow(run, "u long, v long"))
 
 
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
@@ -252,8 +254,13 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
     by_size = Window.partitionBy("s").orderBy("n")
     near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
     shared = short.withColumn("near", near).where("near").drop("near")
-    bits = rows.where("n > 0").select("c", "bits").dropDuplicates(["c"])
     shared = staged(shared, "shared")
+    # Of two sets, take the one whose first shingles end earlier in the order: those that the other set has are among the other's first ones, too. So
+    # it shares at most those that a class of similar size has (held) and what is behind the first; for a pair the larger of both bounds holds.
+    held = shared.select("c").union(lists.where("often").join(hubs, "s", "left_semi").select("c")).groupBy("c").agg(F.count("*").alias("held"))
+    sizes = rows.where("n > 0").select("c", "n", "bits").dropDuplicates(["c"]).join(held, "c")
+    first = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
+    bits = sizes.select("c", (F.col("held") + F.col("n") - first).cast("long").alias("most"), "bits")
     ties = staged(forest_ties(shared.join(bits, "c"), percent).where("u <> v").distinct().union(long_ties), "ties")
     dropped(lists, hubs, shared)
     return ties
