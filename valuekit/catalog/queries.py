@@ -398,7 +398,7 @@ def q28_partitioned_sink(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    q01_csv_roundtrip, q02_key_sentinel_filter, q03_fill_and_flag, q04_range_to_null, q05_prefer_aggregate,
+    q01_csv_roundtrip, q02_key_sentinel_filter, q03_fill_and_flag, q04_range_to_null, q05_prefer_aggregate, q42_prefer_aggregate_filtered,
     q06_rates, q07_money_parse, q08_consolidate, q09_record_split, q10_map_lookup, q11_normalize_to_cap,
     q13_season_start, q14_composite_value, q15_availability, q16_per36, q17_rule_label,
     q18_value_metrics, q19_label_season_rollup, q20_topk_per_group, q21_label_distribution,
