@@ -194,6 +194,14 @@ def test_probabilities_of_a_seating_sum_to_one():
         assert (seating.t2 <= seating.c2).all() and ((seating.c2 > 0) == (seating.t2 > 0)).all()
 
 
+def test_ties_go_to_smaller_ids(spark):
+    """199 different vectors as near as the 20th: more than any list of a few."""
+    rows = [(0, [1.0, 0.0, 0.0])] + [(i, [1.0, float(i), 0.5]) for i in range(199, 0, -1) if i % 20]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = sorted((r.rank, r.vec_id, r.score) for r in ann.nearest(table, window=1.0).collect())
+    assert got == [(n + 1, i, 1.0) for n, i in enumerate([i for i in range(1, 23) if i % 20][:20])]
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(1500, 16)) * rng.uniform(0.5, 2, (1500, 1))

@@ -198,11 +198,15 @@ def nearest(table: DataFrame, k: int = K, window: float = WINDOW) -> DataFrame:
         if len(queries) and len(rows):
             x = np.array([np.frombuffer(b) for b in rows.v])
             ids, q_all = list(rows.ids), np.array([np.frombuffer(b) for b in queries.v])
+            longest = np.sqrt((x * x).sum(1).max())
             for lo in range(0, len(q_all), 512):
                 rough = q_all[lo:lo + 512] @ x.T
-                take = min(len(x), k + 1 + 16)  # a few more: rounding may swap near equals
-                near = np.argpartition(-rough, take - 1, axis=1)[:, :take]
-                for q, c, at in zip(q_all[lo:lo + 512], queries.c.iloc[lo:lo + 512], near):
+                take = min(len(x), k + 1)
+                kth = -np.partition(-rough, take - 1, axis=1)[:, take - 1]
+                for q, c, products, least in zip(q_all[lo:lo + 512], queries.c.iloc[lo:lo + 512], rough, kth):
+                    # All that rounding cannot tell from the last one stay, so ties go by vec_id.
+                    slack = 4 * len(q) * np.finfo(float).eps * np.sqrt(q @ q) * longest
+                    at = np.flatnonzero(products >= least - slack)
                     exact = (x[at] * q).sum(1)
                     found = np.concatenate([ids[i] for i in at])
                     scores = np.repeat(exact, [len(ids[i]) for i in at])
