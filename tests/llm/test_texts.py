@@ -86,6 +86,18 @@ def test_min_and_max_agree_as_often_as_the_sets_overlap():
     assert abs(same - 700 / 900) < 0.12
 
 
+def test_notices_that_follow_each_other(docs_of):
+    notice = next(t for t, label in license.NOTICES.items() if label == "mit-notice")
+    words = notice.split()
+    rows = [(1, "All rights reserved. All rights reserved."), (2, "all rights reserved " * 50), (3, "all rights were reserved"),
+            (4, notice + " " + notice), (5, " ".join(words[:8] + ["so", "to", "say", "it", "all"] + words[8:])),
+            (6, " ".join(words[:5] + ["x"] * 40 + words[5:])), (7, "reserved all rights all reserved"), (8, " ".join(words[:7]))]
+    got = {r.doc_id: (r.labels, r.score) for r in license.license_scan(docs_of(rows)).collect()}
+    pairs = len(words) - 1
+    assert got == {1: ("all-rights-reserved", 1.0), 2: ("all-rights-reserved", 1.0), 3: ("", 0.0), 4: ("mit-notice", 1.0),
+                   5: ("mit-notice", (pairs - 1) / pairs), 6: ("mit-notice", (pairs - 5) / pairs), 7: ("", 0.0), 8: ("", 0.0)}
+
+
 def test_licenses(docs_of):
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated files"
     rows = [(1, "Under the MIT License, or Apache\nLICENSE; mit license"), (2, None), (3, ""), (4, "mit"), (5, "GNU General Public License cc by"),

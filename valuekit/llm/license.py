@@ -5,9 +5,10 @@ template holds the same two words (hash first, then the words themselves).
 A hit at word ``pos`` for template place ``tpos`` votes for the diagonal
 ``pos - tpos``; diagonals are counted map-side first. Short phrases count as
 found where one diagonal holds all their places, which is an exact match.
-For longer notices neighbouring diagonals merge, so that inserted or lost
-words do no harm, and the merged span is verified: enough different template
-places and no more words between them than the template has, plus half.
+For longer notices each diagonal merges with those after it up to half the
+template's length, so that inserted or lost words do no harm: the span then has
+at most the template's word pairs plus half. It is verified by its share of
+different template places. Copies that follow each other are spans of their own.
 
 The broadcast side is the table of template places below: a fixed size.
 
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from valuekit.llm.common import read_table, text_or_empty
 
@@ -46,8 +46,8 @@ NOTICES = {
     "all rights reserved": "all-rights-reserved",
 }
 
-#: Diagonals at most this far apart merge.
-MERGE_GAP = 3
+#: Diagonals at most this share of a notice's word pairs apart merge.
+MAX_DRIFT = 0.5
 #: Share of a notice's word pairs that must be found.
 MIN_COVERAGE = 0.6
 
@@ -75,7 +75,7 @@ def template_places(spark: SparkSession, phrases: dict[str, str], notices: dict[
 def diagonals(docs: DataFrame, places: DataFrame) -> DataFrame:
     """One row for each text, template and diagonal with hits, and one with
     null template for the text itself: rid, doc_id, n_words, is_phrase, label,
-    template, n_pairs, diagonal, found (bit per template place), lo, hi."""
+    template, n_pairs, diagonal, found (bit per template place), lo."""
     words = (docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                          word_array(text_or_empty()).alias("words"))
              .withColumn("n_words", F.size("words").cast("long")))
@@ -87,26 +87,21 @@ def diagonals(docs: DataFrame, places: DataFrame) -> DataFrame:
     return (hits.groupBy("rid", "doc_id", "n_words", "is_phrase", "label", "template", "n_pairs",
                          (F.col("pos") - F.col("tpos")).alias("diagonal"))
             .agg(F.bit_or(F.when(F.col("tpos").isNotNull(), F.expr("shiftleft(1L, tpos)"))).alias("found"),
-                 F.min(F.when(F.col("tpos").isNotNull(), F.col("pos"))).alias("lo"),
-                 F.max(F.when(F.col("tpos").isNotNull(), F.col("pos"))).alias("hi")))
+                 F.min(F.when(F.col("tpos").isNotNull(), F.col("pos"))).alias("lo")))
 
 
 def license_scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES,
-                 merge_gap: int = MERGE_GAP, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+                 max_drift: float = MAX_DRIFT, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per text: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score (1 where a phrase stands; else the largest
     share of a verified notice span; else 0)."""
     voted = diagonals(docs, template_places(docs.sparkSession, phrases, notices))
-    by_diagonal = Window.partitionBy("rid", "template").orderBy("diagonal")
-    far = F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > merge_gap
-    merged = (voted.withColumn("starts", F.when(F.col("is_phrase") | F.coalesce(far, F.lit(True)), 1).otherwise(0))
-              .withColumn("span", F.sum("starts").over(by_diagonal.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy("rid", "doc_id", "n_words", "is_phrase", "label", "template", "n_pairs", "span")
-              .agg(F.bit_count(F.bit_or("found")).alias("n_found"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    share = F.col("n_found") / F.col("n_pairs")
-    base = F.col("is_phrase") & (F.col("n_found") == F.col("n_pairs"))
-    notice = (~F.col("is_phrase") & (share >= min_coverage)
-              & (F.col("hi") - F.col("lo") + 1 <= F.col("n_pairs") * 1.5))
+    # A template's diagonals in units of its length, so that one frame fits all.
+    merged = voted.withColumn("n_merged", F.expr(f"""bit_count(bit_or(found) OVER (
+        PARTITION BY rid, template ORDER BY diagonal / n_pairs RANGE BETWEEN CURRENT ROW AND {float(max_drift)}D FOLLOWING))"""))
+    share = F.col("n_merged") / F.col("n_pairs")
+    base = F.col("is_phrase") & (F.bit_count("found") == F.col("n_pairs"))
+    notice = ~F.col("is_phrase") & (share >= min_coverage)
     joined = lambda cond: F.concat_ws(",", F.array_sort(F.collect_set(F.when(cond, F.col("label")))))
     return (merged.groupBy("rid", "doc_id", "n_words")
             .agg(F.coalesce(F.sum(F.when(base, 1)), F.lit(0)).cast("long").alias("n_base"),
@@ -138,23 +133,20 @@ hits AS (
   SELECT doc_id, is_phrase, label, template, n_pairs, pos, tpos, pos - tpos AS diagonal
   FROM (SELECT doc_id, pos, w[pos + 1] AS a, w[pos + 2] AS b FROM pairs) p
   JOIN places ON a = tw[tpos + 1] AND b = tw[tpos + 2]),
-diags AS (SELECT DISTINCT doc_id, is_phrase, template, diagonal FROM hits),
-marked AS (
-  SELECT *, CASE WHEN is_phrase OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {MERGE_GAP}, TRUE)
-                 THEN 1 ELSE 0 END AS starts FROM diags),
-spans AS (SELECT doc_id, template, diagonal, sum(starts) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
-found AS (
-  SELECT h.doc_id, is_phrase, label, template, n_pairs, span, count(DISTINCT tpos) AS n_found, min(pos) AS lo, max(pos) AS hi
-  FROM hits h JOIN spans USING (doc_id, template, diagonal) GROUP BY ALL),
+diags AS (
+  SELECT doc_id, is_phrase, label, template, n_pairs, diagonal, min(pos) AS lo, bit_or(1::BIGINT << tpos) AS found
+  FROM hits GROUP BY ALL),
 judged AS (
-  SELECT *, is_phrase AND n_found = n_pairs AS base,
-         NOT is_phrase AND n_found / n_pairs >= {MIN_COVERAGE} AND hi - lo + 1 <= n_pairs * 1.5 AS notice FROM found),
+  SELECT *, is_phrase AND bit_count(found) = n_pairs AS base, bit_count(merged) / n_pairs AS share,
+         NOT is_phrase AND bit_count(merged) / n_pairs >= {MIN_COVERAGE} AS notice
+  FROM (SELECT *, bit_or(found) OVER (PARTITION BY doc_id, template ORDER BY diagonal / n_pairs
+                                      RANGE BETWEEN CURRENT ROW AND {MAX_DRIFT}::DOUBLE FOLLOWING) AS merged FROM diags) d),
 by_doc AS (
   SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(lo) FILTER (WHERE base) AS first_word,
          max(lo) FILTER (WHERE base) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base OR notice) AS labels,
-         max(CASE WHEN base THEN 1.0::DOUBLE WHEN notice THEN n_found / n_pairs END) AS score
+         max(CASE WHEN base THEN 1.0::DOUBLE WHEN notice THEN share END) AS score
   FROM judged GROUP BY doc_id)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
