@@ -47,13 +47,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    folder, fs = _folder(spark, path)
-    fs.deleteOnExit(folder)
+    deleted_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
 
 
+def deleted_at_exit(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.deleteOnExit(folder)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for df in tables:

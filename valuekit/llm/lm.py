@@ -34,11 +34,12 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuekit.llm.common import WordHashes, byte_words, held_out, kept_in_process, partitions_for, read_table, ship, staged, text_or_empty
+from valuekit.llm.common import WordHashes, byte_words, deleted_at_exit, dropped, held_out, kept_in_process, partitions_for, read_table, ship, staged, text_or_empty
+from valuekit.session import scratch_path
 
 ship(__name__)
 
@@ -304,9 +305,15 @@ def add_up(said: DataFrame) -> np.ndarray:
     return np.array(list(row), float)
 
 
-def by_part(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Dealt by ``key`` once and kept on disk, so that no round deals it again."""
-    return df.repartition(parts, key).persist(StorageLevel.DISK_ONLY)
+def by_part(df: DataFrame, key: str, parts: int, name: str) -> DataFrame:
+    """Written once into ``parts`` buckets of ``key`` in the shared folder: the
+    rounds read the columns they need and do not deal them again."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    table = "buckets_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    (df.write.bucketBy(parts, key).option("compression", "zstd").option("path", path)
+     .format("parquet").saveAsTable(table))
+    deleted_at_exit(spark, path)
+    return spark.table(table)
 
 
 def context_places(table: DataFrame, parts: int) -> DataFrame:
@@ -424,14 +431,15 @@ def language_model_scores(docs: DataFrame, chunk_chars: int = CHUNK) -> DataFram
     """One row per document, see SCHEMA."""
     chunks = staged(chunk_rows(docs, chunk_chars), "chunks")
     parts = partitions_for(docs.sparkSession)
-    table = by_part(staged(word_table(requests(chunks, parts)), "words"), "p", parts)
-    places = by_part(context_places(table, parts), "q", parts)
+    table = by_part(word_table(requests(chunks, parts)), "p", parts, "words")
+    places = by_part(context_places(table, parts), "q", parts, "places")
     said = staged(first_said(table, parts), "said")
     totals = add_up(said)
     exact = totals.copy()  # tokens and vocabulary do not depend on the seating
     for _ in range(ROUNDS):
-        said = staged(resampled(table, heard_of(said, places), totals, parts), "said")
+        before, said = said, staged(resampled(table, heard_of(said, places), totals, parts), "said")
         totals = add_up(said)
+        dropped(before)
     return scored(chunks, answers(table, heard_of(said, places), totals), exact)
 
 
