@@ -296,6 +296,20 @@ SELECT player_id, season, cost_per_ws, value_score, availability, cost_per_avail
 
     "q19_label_season_rollup": "WITH " + METRICS_CTE + "\n" + ROLLUP_SELECT,
 
+    "q47_topk_heavy_ties": """
+SELECT * FROM (SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity,
+  CAST(rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC NULLS LAST) AS INTEGER) AS rank FROM lineitem)
+WHERE rank <= 3""",
+    "q48_quarantined_records": """
+WITH c AS (SELECT c_custkey % 10 AS kind, CAST(c_custkey AS VARCHAR) AS k, c_name AS n,
+                  CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) AS b FROM customer)
+SELECT k || ',' || CASE WHEN kind = 5 THEN '' ELSE n END || ',' || b AS record, NULL AS field, 'kept' AS reason
+FROM c WHERE kind NOT IN (1, 2, 3, 4)
+UNION ALL SELECT k || ',' || n || ',n/a', 'c_cents', 'not bigint' FROM c WHERE kind = 1
+UNION ALL SELECT k || ',' || n, 'c_cents', 'missing' FROM c WHERE kind = 2
+UNION ALL SELECT k || ',' || n || ',' || b || ',extra', NULL, 'more fields than columns' FROM c WHERE kind = 3
+UNION ALL SELECT 'x' || k || ',' || n || ',?', 'c_custkey', 'not bigint' FROM c WHERE kind = 4
+UNION ALL SELECT 'x' || k || ',' || n || ',?', 'c_cents', 'not bigint' FROM c WHERE kind = 4""",
     "q20_topk_per_group": """
 SELECT * FROM (
   SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS season_start_year, o_orderpriority, o_totalprice,

@@ -27,9 +27,11 @@ from valuekit.operators.dedupe import FILTER_WORDS, consolidate, prefer_tagged_r
 from valuekit.operators.join import normalize_to_cap
 from valuekit.operators.rules import archetype_rules
 from valuekit.operators.tiers import assign_tiers, tier_value_score
+from valuekit.operators.topk import top_k_by_threshold
 from valuekit.plans.analysis import composite_value_rows
 from valuekit.session import scratch_path
 from valuekit.sources import files
+from valuekit.sources.quarantine import load_csv_quarantined
 
 # Fixed values for the catalogue (test parameters, FIXTURES.md 3).
 MIN_GAMES = 80                       # the shapes' games run 53-122, so 20 would filter nothing
@@ -397,12 +399,38 @@ def q28_partitioned_sink(spark: SparkSession, d: str) -> DataFrame:
                                            "cost_per_ws")
 
 
+def q47_topk_heavy_ties(spark: SparkSession, d: str) -> DataFrame:
+    """The three largest quantities per return flag; half of all rows in
+    one group and thousands of rows on each place."""
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    return top_k_by_threshold(li, ["l_returnflag"], "l_quantity", k=3)
+
+
+def q48_quarantined_records(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as CSV lines, four in ten of them malformed; each kept
+    record again as a line, each other one once for every fault."""
+    kind, key, name = F.col("c_custkey") % 10, F.col("c_custkey").cast("string"), F.col("c_name")
+    balance = cents(F.col("c_acctbal")).cast("string")
+    line = (F.when(kind == 1, F.concat_ws(",", key, name, F.lit("n/a"))).when(kind == 2, F.concat_ws(",", key, name))
+            .when(kind == 3, F.concat_ws(",", key, name, balance, F.lit("extra")))
+            .when(kind == 4, F.concat_ws(",", F.concat(F.lit("x"), key), name, F.lit("?")))
+            .when(kind == 5, F.concat_ws(",", key, F.lit(""), balance)).otherwise(F.concat_ws(",", key, name, balance)))
+    path = scratch_path(spark, "q48_lines")
+    table(spark, d, "customer").select(line.alias("value")).write.text(path)
+    schema = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()), StructField("c_cents", LongType())])
+    kept, quarantined = load_csv_quarantined(spark, path, schema, header="false")
+    again = kept.select(F.concat_ws(",", "c_custkey", F.coalesce("c_name", F.lit("")), "c_cents").alias("record"),
+                        F.lit(None).cast("string").alias("field"), F.lit("kept").alias("reason"))
+    return again.unionByName(quarantined.select(F.col("raw").alias("record"), F.explode("faults").alias("f"))
+                             .select("record", "f.field", "f.reason"))
+
+
 QUERIES = {f.__name__: f for f in (
     q01_csv_roundtrip, q02_key_sentinel_filter, q03_fill_and_flag, q04_range_to_null, q05_prefer_aggregate, q42_prefer_aggregate_filtered,
     q06_rates, q07_money_parse, q08_consolidate, q09_record_split, q10_map_lookup, q11_normalize_to_cap,
     q13_season_start, q14_composite_value, q15_availability, q16_per36, q17_rule_label,
     q18_value_metrics, q19_label_season_rollup, q20_topk_per_group, q21_label_distribution,
     q22_season_report, q23_tiers, q24_tier_value_score, q25_quality_report, q26_lookup_filter,
-    q27_wasted_cap, q28_partitioned_sink,
+    q27_wasted_cap, q28_partitioned_sink, q47_topk_heavy_ties, q48_quarantined_records,
 )}
 QUERIES = dict(sorted({**QUERIES, **DOMAIN_QUERIES}.items()))
