@@ -22,6 +22,7 @@ from valuekit.operators import quality as Q
 from valuekit.operators import rank as R
 from valuekit.plans import analysis, foundation
 from valuekit.session import scratch_path
+from valuekit.sources.clustered import write_clustered
 from valuekit.sources.publish import publish, read_published
 
 TEAMS = sorted(set(K.TEAM_CODES.values()))[:30]
@@ -270,6 +271,13 @@ def q41_player_history(spark: SparkSession, d: str) -> DataFrame:
 
 HISTORY_PLAYER = "p14"
 
+
+def q50_player_history_clustered(spark: SparkSession, d: str) -> DataFrame:
+    """D45 on a table clustered by player: few row groups are read."""
+    laid = write_clustered(q36_composite_table(spark, d), scratch_path(spark, "clustered"), ["player_id", "season"], lookups=["name"])
+    return L.player_history(laid, HISTORY_PLAYER).select("player_id", "season", "composite_value_score")
+
+
 def q43_unify_bucketed(spark: SparkSession, d: str) -> DataFrame:
     """D18 over bucketed facts: no shuffle for the joins by player and season."""
     path, buckets = scratch_path(spark, "bucketed"), int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -309,4 +317,4 @@ QUERIES = {f.__name__: f for f in (
     q43_unify_bucketed, q44_unify_first, q45_rollup_states, q46_published_seasons,
     q12_unify, q29_clean_profiles, q30_clean_stats, q31_clean_salaries, q32_clean_advanced, q33_clean_standings, q34_clean_caps,
     q35_foundation_report, q36_composite_table, q37_archetype_players, q38_archetype_rollup, q39_archetype_top, q40_tier_table,
-    q41_player_history)}
+    q41_player_history, q50_player_history_clustered)}

@@ -263,6 +263,7 @@ def one_row(table: str, keys: str, columns: str) -> str:
     return f"(SELECT * FROM {table} QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1)"
 
 
+ORACLE["q50_player_history_clustered"] = ORACLE["q41_player_history"]
 ORACLE["q43_unify_bucketed"] = ORACLE["q12_unify"]
 ORACLE["q44_unify_first"] = (ORACLE["q12_unify"].replace("LEFT JOIN advanced a", "LEFT JOIN " + one_row("advanced", "player_id, season", ADVANCED_TAKEN) + " a")
                              .replace("LEFT JOIN caps c ON c.season = s.season", "LEFT JOIN " + one_row("caps", "season", "salary_cap") + " c ON c.season = s.season")

@@ -310,6 +310,22 @@ UNION ALL SELECT k || ',' || n, 'c_cents', 'missing' FROM c WHERE kind = 2
 UNION ALL SELECT k || ',' || n || ',' || b || ',extra', NULL, 'more fields than columns' FROM c WHERE kind = 3
 UNION ALL SELECT 'x' || k || ',' || n || ',?', 'c_custkey', 'not bigint' FROM c WHERE kind = 4
 UNION ALL SELECT 'x' || k || ',' || n || ',?', 'c_cents', 'not bigint' FROM c WHERE kind = 4""",
+    "q49_suspect_profile": """
+WITH rows_in AS (
+  SELECT unnest(['lineitem', 'lineitem by hash']) AS table_name, l_orderkey AS a, nullif(l_linenumber, 7) AS b, TRUE AS two FROM lineitem
+  UNION ALL SELECT 'orders', o_orderkey, NULL, FALSE FROM orders),
+k AS (SELECT table_name, two, a, b, count(*) AS c FROM rows_in GROUP BY table_name, two, a, b),
+n AS (SELECT table_name, two, sum(c) AS total, count(*) AS keys, count_if(c > 1) AS repeated,
+        coalesce(sum(CASE WHEN a IS NULL THEN c END), 0) AS null_a, coalesce(sum(CASE WHEN b IS NULL THEN c END), 0) AS null_b
+      FROM k GROUP BY table_name, two),
+items AS (
+  SELECT table_name, 'total_rows' AS item, total AS value, FALSE AS warns FROM n
+  UNION ALL SELECT table_name, 'distinct_keys', keys, FALSE FROM n
+  UNION ALL SELECT table_name, 'duplicate_rows', total - keys, TRUE FROM n
+  UNION ALL SELECT table_name, 'keys_with_duplicates', repeated, TRUE FROM n
+  UNION ALL SELECT table_name, CASE WHEN two THEN 'null_l_orderkey' ELSE 'null_o_orderkey' END, null_a, TRUE FROM n
+  UNION ALL SELECT table_name, 'null_l_linenumber', null_b, TRUE FROM n WHERE two)
+SELECT table_name, item, CAST(value AS BIGINT) AS value, CASE WHEN warns AND value > 0 THEN 'WARN' ELSE 'OK' END AS status FROM items""",
     "q20_topk_per_group": """
 SELECT * FROM (
   SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS season_start_year, o_orderpriority, o_totalprice,

@@ -28,6 +28,7 @@ from valuekit.operators.join import normalize_to_cap
 from valuekit.operators.rules import archetype_rules
 from valuekit.operators.tiers import assign_tiers, tier_value_score
 from valuekit.operators.topk import top_k_by_threshold
+from valuekit.operators.uniqueness import sketched_key_profile, suspect_profile
 from valuekit.plans.analysis import composite_value_rows
 from valuekit.session import scratch_path
 from valuekit.sources import files
@@ -425,12 +426,21 @@ def q48_quarantined_records(spark: SparkSession, d: str) -> DataFrame:
                              .select("record", "f.field", "f.reason"))
 
 
+def q49_suspect_profile(spark: SparkSession, d: str) -> DataFrame:
+    """D15, D16, A9 with only suspects grouped: line items (some line numbers
+    NULL, so some keys repeat), by words and by hashes, and orders, which are unique."""
+    li = table(spark, d, "lineitem").select("l_orderkey", F.expr("nullif(l_linenumber, 7)").alias("l_linenumber"))
+    keys = ["l_orderkey", "l_linenumber"]
+    return (sketched_key_profile(li, keys, "lineitem").unionByName(suspect_profile(li, keys, "lineitem by hash", by_hash=True))
+            .unionByName(sketched_key_profile(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "orders")))
+
+
 QUERIES = {f.__name__: f for f in (
     q01_csv_roundtrip, q02_key_sentinel_filter, q03_fill_and_flag, q04_range_to_null, q05_prefer_aggregate, q42_prefer_aggregate_filtered,
     q06_rates, q07_money_parse, q08_consolidate, q09_record_split, q10_map_lookup, q11_normalize_to_cap,
     q13_season_start, q14_composite_value, q15_availability, q16_per36, q17_rule_label,
     q18_value_metrics, q19_label_season_rollup, q20_topk_per_group, q21_label_distribution,
     q22_season_report, q23_tiers, q24_tier_value_score, q25_quality_report, q26_lookup_filter,
-    q27_wasted_cap, q28_partitioned_sink, q47_topk_heavy_ties, q48_quarantined_records,
+    q27_wasted_cap, q28_partitioned_sink, q47_topk_heavy_ties, q48_quarantined_records, q49_suspect_profile,
 )}
 QUERIES = dict(sorted({**QUERIES, **DOMAIN_QUERIES}.items()))

@@ -95,8 +95,12 @@ def key_profile(df: DataFrame, keys: Sequence[str], table: str, tag_col: str | N
         *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("c"))), F.lit(0)).cast("bigint").alias(f"null_{k}")
           for k in keys],
     ).withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_keys"))
-    items = ["total_rows", "distinct_keys", "duplicate_rows", "keys_with_duplicates", *(["kept_rows"] if tag_col else []),
-             *[f"null_{k}" for k in keys]]
+    return profile_items(wide, keys, table, ["kept_rows"] if tag_col else [])
+
+
+def profile_items(wide: DataFrame, keys: Sequence[str], table: str, more: Sequence[str] = ()) -> DataFrame:
+    """The long form of a key profile's one row of counts."""
+    items = ["total_rows", "distinct_keys", "duplicate_rows", "keys_with_duplicates", *more, *[f"null_{k}" for k in keys]]
     bad = (F.col("item").startswith("null_") | F.col("item").isin("duplicate_rows", "keys_with_duplicates")) & (F.col("value") > 0)
     return wide.unpivot([], items, "item", "value").select(
         F.lit(table).alias("table_name"), "item", F.col("value").cast("bigint").alias("value"),
