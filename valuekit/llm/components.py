@@ -13,14 +13,14 @@ def components(edges: DataFrame) -> DataFrame:
     node, root: the smallest node reachable, for every node with an edge.
 
     Each round ties every node's larger neighbours to its smallest one (large
-    star), then its smaller neighbours likewise (small star), until nothing
-    changes. Every step is a grouped minimum (combined before the shuffle) and
-    a join; the minima and each round's edges are written to the shared folder, the
-    minima so that the join does not take over their partitions and a hot node's
-    rows can be split, and what a round no longer needs is deleted."""
+    star), then its smaller neighbours likewise (small star), until only stars
+    are left; edges that are stars already take no round. Every step is a grouped
+    minimum (combined before the shuffle) and a join; the minima and each round's
+    edges are written to the shared folder, the minima so that the join does not
+    take over their partitions and a hot node's rows can be split, and what a
+    round no longer needs is deleted."""
     now = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not only_stars(now):
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         # neighbour v of u goes to u's minimum
@@ -30,9 +30,13 @@ def components(edges: DataFrame) -> DataFrame:
                  .union(lower.select("u", F.col("m").alias("v"))))
         past, now = now, staged(small.where("u > v").distinct(), "edges")
         dropped(past, least, large, lower)
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == before:
-            break
-        before = state
     return (now.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .union(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy("node").agg(F.min("root").alias("root")))
+
+
+def only_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or tied to one centre alone. Edges
+    are distinct with u > v, so a centre then is the smallest node it reaches."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).union(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    per_node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return per_node.where((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("least") == 0))).isEmpty()
