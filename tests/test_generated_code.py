@@ -18,7 +18,7 @@ def method_sizes(spark, df):
     return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
 
 
-@pytest.mark.parametrize("name", ["q44_unify_first", "q31_clean_salaries"])
+@pytest.mark.parametrize("name", ["q44_unify_first", "q31_clean_salaries", "q37_archetype_players"])
 def test_generated_methods_can_be_compiled(spark, name):
     was = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
