@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from valuekit.functions import columns as C
+from valuekit.plans import foundation
 from pyspark.sql import functions as F
 
 SMALL = "/root/testdata/sf0.001"
@@ -41,3 +42,13 @@ def test_text_to_integer_reads_the_text_once(spark):
     assert [r.n for r in df.orderBy("i").collect()] == want
     text = spark.range(1).select(F.lit("x").alias("t")).select(C.text_to_integer("t"))._jdf.queryExecution().analyzed().toString()
     assert text.count("trim(") <= 2
+
+
+def test_salary_text_is_parsed_once_a_row(spark):
+    """Not once more in a filter, and a cast sees only text that it can read."""
+    rows = [("a", "2001-02", "x", "7 (TW)"), ("a", "2001-02", "y", "< Minimum"), ("b", "2001-02", None, "$5"), ("c", "", "x", "1"), ("d", "2001-02", "x", " 8.9\r")]
+    df = spark.createDataFrame(rows, "player_id string, season string, team string, salary string")
+    out = foundation.clean_nba_salaries(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 2 and not re.search(r"Filter .*regexp", plan)  # of the salary and of the season
+    assert sorted((r.player_id, r.salary, r.teams, r.is_two_way) for r in out.collect()) == [("a", 7, "x", True), ("d", 8, "x", False)]
