@@ -47,6 +47,25 @@ def test_pruned_pairs_are_below_the_similarity():
     assert len(set(label.tolist())) > 60
 
 
+def test_counts_bound_long_sets():
+    """Bitmaps of 3,000 shingles are full; their counts still tell sets apart, and lose no link."""
+    rng = np.random.default_rng(4)
+    draw = lambda k: rng.integers(0, 2**63, k).astype(np.uint64)
+    base = draw(3000)
+    sets = [np.unique(draw(int(k))) for k in rng.integers(2500, 3500, 40)]
+    sets += [np.unique(np.concatenate([base[rng.permutation(3000)[:2870]], draw(100)])) for _ in range(6)]
+    sets += [np.unique(draw(10)), np.unique(np.concatenate([sets[3], draw(300)])), np.uint64(4096) * np.arange(1, 5001, dtype=np.uint64),
+             np.uint64(4096) * np.arange(200, 5201, dtype=np.uint64)]  # the last two are all in one bucket
+    n = np.array([len(s) for s in sets])
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if 185 * len(np.intersect1d(sets[i], sets[j])) >= 85 * (n[i] + n[j])]
+    counted = [sigtree.counts(s) for s in sets]
+    keep = sigtree.possible_classes(n, np.ones(len(sets), bool), counted, 85)
+    assert {x for pair in linked for x in pair} == set(np.flatnonzero(keep).tolist()) and 8 <= keep.sum() <= 12
+    own = np.arange(len(sets)) % 2 == 0  # two blocks: links between them stay
+    keep = sigtree.possible_classes(n, own, counted, 85)
+    assert all(keep[i] and keep[j] for i, j in linked if own[i] != own[j]) and keep.sum() <= 12
+
+
 def merkle(rows):
     """Rows of the manifest by plain lists."""
     def h(*parts):

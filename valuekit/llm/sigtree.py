@@ -22,8 +22,13 @@ Where trees stand:
   the groups' connected components are the candidates;
 * each component gets one more tree: blocks of classes by size are its nodes.
   Spark joins the nodes of neighbouring size bands and prunes them by the same
-  bound; the remaining pairs of blocks are units, which get the full sets,
-  count all intersections and return a spanning star of each linked group.
+  bound; the remaining pairs of blocks are units. A unit first gets the counts
+  of its classes: how many shingles of a set fall into each of n / 20 to n / 10
+  buckets. Two sets share at most the sum of the smaller counts, which is far
+  from their sizes also where all bits of a long set's bitmap are taken; only
+  classes that some other class of the unit may be similar to stay. Then the
+  unit gets their full sets, some 100 times as long, counts all intersections
+  and returns a spanning star of each linked group.
 
 A list of more than LONG classes is tied to its smallest class as it is, in
 many tasks, without a tree; its blocks are pruned in the component's tree.
@@ -267,8 +272,8 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def units(found: DataFrame, percent: int) -> DataFrame:
-    """root, i, j, c: the classes of each pair of blocks of a component that may
-    hold similar ones. ``found``: root, c, n, bits. Blocks are nodes of the
+    """root, i, j, own, c: the classes of each pair of blocks of a component that
+    may hold similar ones, and the block of each. ``found``: root, c, n, bits. Blocks are nodes of the
     component's tree, which Spark joins by size band and prunes by the bound."""
     whole = found.groupBy("root").agg(((F.count("*") <= BLOCK) & (F.sum("n") <= BLOCK_SHINGLES)).alias("whole"))
     band = F.floor(F.log("n") / -math.log(percent / 100)).cast("int")  # a component that fits into one block is one
@@ -290,11 +295,81 @@ def units(found: DataFrame, percent: int) -> DataFrame:
              .where((100 + percent) * most >= percent * (F.col("lo") + F.col("i_lo"))).select("root", "i", "j"))
     sides = pairs.select("root", "i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("own"))
     sides = sides.select("root", "i", "j", F.col("own.band").alias("band"), F.col("own.part").alias("part"))
-    return dealt.select("root", "band", "part", "c").join(staged(sides, "sides"), ["root", "band", "part"]).select("root", "i", "j", "c")
+    return dealt.select("root", "band", "part", "c").join(staged(sides, "sides"), ["root", "band", "part"]).select(
+        "root", "i", "j", F.struct("band", "part").alias("own"), "c")
+
+
+def counts(shingles: np.ndarray) -> np.ndarray:
+    """Shingles by bucket, a power of two of buckets, at most 20 a bucket on
+    average; counts above 255 are cut there, ``possible_classes`` adds the rest."""
+    buckets = 1 << max(4, math.ceil(math.log2(max(len(shingles), 1) / 20)))
+    return np.minimum(np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets), 255).astype(np.uint8)
+
+
+def possible_classes(n: np.ndarray, own: np.ndarray, counted: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which classes of a unit may be similar to another one that it has to be
+    held against: one of the other block, or any where there is one block alone
+    (``own``: whether a class is of the first block)."""
+    both_blocks, size = not own.all(), np.array([len(x) for x in counted])
+    keep = np.zeros(len(n), bool)
+    cut = n - np.array([int(x.sum(dtype=np.int64)) for x in counted])
+    levels = {}  # of each number of buckets, the counts of the classes that have as many or more, folded
+    for b in np.unique(size).tolist():
+        at = np.flatnonzero(size >= b)
+        levels[b] = at, np.stack([counted[x].reshape(-1, b).sum(0, dtype=np.int32) for x in at])
+    for x in range(len(n)):
+        at, folded = levels[int(size[x])]  # pairs are looked at from the class with fewer buckets
+        other = (at != x) & (own[at] != own[x] if both_blocks else True)
+        other &= (100 * np.minimum(n[at], n[x]) >= percent * np.maximum(n[at], n[x])) & ~(keep[at] & keep[x])
+        y = np.flatnonzero(other)
+        if len(y):
+            me = folded[np.searchsorted(at, x)]
+            shared = np.minimum(folded[y], me).sum(1, dtype=np.int64) + np.minimum(cut[at[y]], cut[x])
+            near = at[y[(100 + percent) * shared >= need(n[at[y]], n[x], percent)]]
+            keep[near] = True
+            keep[x] |= len(near) > 0
+    return keep
+
+
+def possible_units(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """root, unit, c: the rows of the units whose class may be similar to
+    another of its unit, by their counts."""
+    def count(batches):
+        for batch in batches:
+            s = [x.values.to_numpy().view(np.uint64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in s], pa.int64()), pa.array([counts(x).tobytes() for x in s], pa.binary())],
+                                             ["c", "n", "counts"])
+
+    def run(batches):
+        key, held = None, []
+
+        def close():
+            own = np.array([x[2] == x[0] for x in held])
+            keep = possible_classes(np.array([x[4] for x in held], np.int64), own, [np.frombuffer(x[5], np.uint8) for x in held], percent)
+            kept = [x for x, stays in zip(held, keep) if stays]
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(kept), pa.int64()), pa.array([key[1]] * len(kept), pa.string()),
+                                               pa.array([x[3] for x in kept], pa.int64())], ["root", "unit", "c"])
+
+        for batch in batches:
+            for root, unit, *row in zip(*(batch.column(x).to_pylist() for x in range(8))):
+                if (root, unit) != key:
+                    if len(held) > 1:
+                        yield close()
+                    key, held = (root, unit), []
+                held.append(row)
+        if len(held) > 1:
+            yield close()
+
+    counted = sets.select("c", "s").mapInArrow(count, "c long, n long, counts binary")
+    place = lambda x: F.format_string("%d %d", f"{x}.band", f"{x}.part")
+    rows = dealt.join(counted, "c").select("root", F.concat_ws(" ", place("i"), place("j")).alias("unit"), place("i").alias("i"), place("j").alias("j"),
+                                           place("own").alias("own"), "c", "n", "counts")
+    return (rows.repartition(partitions_for(dealt.sparkSession), "root", "unit").sortWithinPartitions("root", "unit", "c")
+            .mapInArrow(run, "root long, unit string, c long"))
 
 
 def confirmed(rows: DataFrame, percent: int) -> DataFrame:
-    """u, v: linked classes, from rows (root, i, j, c, s) of the units."""
+    """u, v: linked classes, from rows (root, unit, c, s) of the units."""
     def run(batches):
         key, classes, sets = None, [], []
 
@@ -314,8 +389,7 @@ def confirmed(rows: DataFrame, percent: int) -> DataFrame:
         if len(sets) > 1:
             yield close()
 
-    unit = F.format_string("%d %d %d %d", "i.band", "i.part", "j.band", "j.part")
-    return (rows.select("root", unit.alias("unit"), "c", "s").repartition(partitions_for(rows.sparkSession), "root", "unit")
+    return (rows.select("root", "unit", "c", "s").repartition(partitions_for(rows.sparkSession), "root", "unit")
             .sortWithinPartitions("root", "unit", "c").mapInArrow(run, "u long, v long"))
 
 
@@ -328,7 +402,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, similarity: float = SI
     found = staged(loose.select(F.col("node").alias("c"), "root").join(rows.where("n > 0").select("c", "n", "bits").dropDuplicates(["c"]), "c"), "found")
     reps = classes.join(found.select("c"), "c", "left_semi")
     sets = staged(sets_of(docs, reps, k), "sets")
-    links = staged(confirmed(units(found, percent).join(sets, "c"), percent), "links")
+    near = possible_units(units(found, percent), sets, percent)
+    links = staged(confirmed(near.join(sets, "c"), percent), "links")
     rooted = classes.join(components(links), F.col("c") == F.col("node"), "left").select("c", "doc_id", F.coalesce("root", "c").alias("root"))
     least = staged(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     by_class = staged(rooted.join(least, "root").select("c", "component_id"), "by-class")
